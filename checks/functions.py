@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import query
-from checks.views import AS_OF, WEATHER_CONDITION_SQL
+from checks.views import AS_OF, WEATHER_CONDITION_SQL, rounded, rounded_sql
 from headway.functions import codes, geo, times
-from headway.operators.fleet import rounded
 from headway.operators.flatten import flatten_trip_updates, flatten_vehicles
 from headway.operators.schedule import stop_density
 
-R6 = "ROUND(({}) * 1e6) / 1e6"
-R3 = "ROUND(({}) * 1e3) / 1e3"
+
+
+def R6(expression: str) -> str:  # noqa: N802
+    return rounded_sql(expression)
+
+
+def R3(expression: str) -> str:  # noqa: N802
+    return rounded_sql(expression, 3)
+
+
 HAVERSINE_SQL = (
     "6371000e0 * 2 * ASIN(SQRT(POW(SIN((RADIANS({lat}) - RADIANS(latitude)) / 2), 2) + COS(RADIANS({lat}))"
     " * COS(RADIANS(latitude)) * POW(SIN((RADIANS({lon}) - RADIANS(longitude)) / 2), 2)))"
@@ -80,7 +87,7 @@ def _(t):
         times.ensure_utc(F.col("ts"), "+02:00").alias("from_zone"))
 
 
-@query("speed_kmh", f"SELECT event_id, {R6.format('speed * 3.6e0')} AS kmh FROM vehicle_positions")
+@query("speed_kmh", f"SELECT event_id, {R6('speed * 3.6e0')} AS kmh FROM vehicle_positions")
 def _(t):
     return t.positions.select("event_id", rounded(codes.speed_kmh(F.col("speed"))).alias("kmh"))
 
@@ -111,14 +118,14 @@ def _(t):
     return t.routes.select("route_id", codes.route_type_label(F.col("route_type")).alias("label"))
 
 
-@query("haversine", f"SELECT event_id, {R3.format(CENTRE_DISTANCE_SQL)} AS metres FROM vehicle_positions")
+@query("haversine", f"SELECT event_id, {R3(CENTRE_DISTANCE_SQL)} AS metres FROM vehicle_positions")
 def _(t):
     metres = geo.haversine_m(*CENTRE, F.col("latitude"), F.col("longitude"))
     return t.positions.select("event_id", rounded(metres, 3).alias("metres"))
 
 
 @query("flat_distance_km", f"""
-SELECT event_id, {R6.format('SQRT(POW(latitude - 45.5152e0, 2) + POW(longitude - -122.6784e0, 2)) * 111')} AS km
+SELECT event_id, {R6('SQRT(POW(latitude - 45.5152e0, 2) + POW(longitude - -122.6784e0, 2)) * 111')} AS km
 FROM vehicle_positions""")
 def _(t):
     km = geo.flat_km(F.col("latitude"), F.col("longitude"), *CENTRE)
@@ -143,7 +150,7 @@ def _(t):
 
 
 @query("cell_origin", f"""
-SELECT event_id, {R6.format('45.2e0 + (FLOOR((latitude - 45.2e0) / (45.7e0 - 45.2e0) * 20) / 20) * (45.7e0 - 45.2e0)')}
+SELECT event_id, {R6('45.2e0 + (FLOOR((latitude - 45.2e0) / (45.7e0 - 45.2e0) * 20) / 20) * (45.7e0 - 45.2e0)')}
   AS origin_lat FROM vehicle_positions""")
 def _(t):
     cell = geo.grid_cell(F.col("latitude"), 45.2, 45.7, 20)
@@ -171,7 +178,7 @@ def _(t):
 
 
 @query("walk_units", f"""
-SELECT event_id, {R6.format('speed * 0.621e0')} AS miles, {R6.format('speed * 12.5e0')} AS minutes
+SELECT event_id, {R6('speed * 0.621e0')} AS miles, {R6('speed * 12.5e0')} AS minutes
 FROM vehicle_positions""")
 def _(t):
     return t.positions.select(

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from checks import query
 from checks.functions import CENTRE, CENTRE_DISTANCE_SQL, R3, R6
+from checks.views import AS_OF, rounded
 from headway.operators import coverage, schedule, spatial, weather
-from headway.operators.fleet import rounded
 from headway.operators.medallion import first_batch_only, silver_filter, upsert
 from headway.operators.fleet import gold_hourly
 
@@ -60,14 +60,12 @@ SELECT event_id, vehicle_id, timestamp FROM silver_positions WHERE vehicle_id NO
   SELECT vehicle_id FROM vehicle_positions WHERE timestamp < TIMESTAMP '2024-01-01 06:00:00')""")
 def _(t):
     seen = t.positions.where("timestamp < TIMESTAMP '2024-01-01 06:00:00'")
-    from checks.views import AS_OF
-
     return first_batch_only(silver_filter(t.positions, as_of=AS_OF), seen).select(
         "event_id", "vehicle_id", "timestamp")
 
 
 @query("radius_search", f"""
-SELECT vehicle_id, route_id, latitude, longitude, speed, timestamp, {R3.format('d')} AS distance_meters
+SELECT vehicle_id, route_id, latitude, longitude, speed, timestamp, {R3('d')} AS distance_meters
 FROM (SELECT *, {CENTRE_DISTANCE_SQL} AS d FROM vehicle_positions) WHERE d <= 1000 ORDER BY d""")
 def _(t):
     found = spatial.radius_search(t.positions, lat=CENTRE[0], lon=CENTRE[1], radius_m=1000.0)
@@ -76,7 +74,7 @@ def _(t):
 
 
 @query("radius_join", f"""
-SELECT point_id, event_id, {R3.format('d')} AS distance_meters FROM (SELECT point_id, event_id,
+SELECT point_id, event_id, {R3('d')} AS distance_meters FROM (SELECT point_id, event_id,
   6371000e0 * 2 * ASIN(SQRT(POW(SIN((RADIANS(point_lat) - RADIANS(latitude)) / 2), 2) + COS(RADIANS(point_lat))
     * COS(RADIANS(latitude)) * POW(SIN((RADIANS(point_lon) - RADIANS(longitude)) / 2), 2))) AS d
   FROM points JOIN vehicle_positions ON ABS(point_lat - latitude) < 0.01e0) WHERE d <= 500""")
@@ -87,7 +85,7 @@ def _(t):
 
 @query("gap_nearest_stop", f"""
 WITH {GRID_SQL}
-SELECT {R6.format('lat')} AS lat, {R6.format('lon')} AS lon, {R6.format('km')} AS distance_km,
+SELECT {R6('lat')} AS lat, {R6('lon')} AS lon, {R6('km')} AS distance_km,
   km IS NULL AS is_unbounded FROM nearest""")
 def _(t):
     found = coverage.gap_nearest_stop(t.stops)
@@ -96,9 +94,9 @@ def _(t):
 
 @query("coverage_gaps", f"""
 WITH {GRID_SQL}
-SELECT {R6.format('lat')} AS lat, {R6.format('lon')} AS lon, {R6.format('km')} AS distance_km,
+SELECT {R6('lat')} AS lat, {R6('lon')} AS lon, {R6('km')} AS distance_km,
   km IS NULL AS is_unbounded, CASE WHEN km IS NULL OR km > 1.5e0 THEN 'severe' ELSE 'desert' END AS severity,
-  {R6.format('km * 0.621e0')} AS miles, {R6.format('km * 12.5e0')} AS walk_minutes
+  {R6('km * 0.621e0')} AS miles, {R6('km * 12.5e0')} AS walk_minutes
 FROM nearest WHERE km IS NULL OR km > 0.8e0 ORDER BY km DESC NULLS FIRST""")
 def _(t):
     found = coverage.coverage_gaps(t.stops)
@@ -108,7 +106,7 @@ def _(t):
 
 @query("stop_nearest_neighbour", f"""
 WITH {NEIGHBOUR_SQL}
-SELECT stop_id, {R6.format('km')} AS distance_km, km IS NULL AS is_unbounded FROM neighbours""")
+SELECT stop_id, {R6('km')} AS distance_km, km IS NULL AS is_unbounded FROM neighbours""")
 def _(t):
     found = coverage.stop_nearest_neighbour(t.stops)
     return found.select("stop_id", rounded(F.col("distance_km")).alias("distance_km"), "is_unbounded")
@@ -116,8 +114,8 @@ def _(t):
 
 @query("isolated_stops", f"""
 WITH {NEIGHBOUR_SQL}
-SELECT stop_id, stop_name, {R6.format('stop_lat')} AS stop_lat, {R6.format('stop_lon')} AS stop_lon,
-  {R6.format('km')} AS distance_km FROM neighbours WHERE km IS NULL OR km > 1.0e0""")
+SELECT stop_id, stop_name, {R6('stop_lat')} AS stop_lat, {R6('stop_lon')} AS stop_lon,
+  {R6('km')} AS distance_km FROM neighbours WHERE km IS NULL OR km > 1.0e0""")
 def _(t):
     found = coverage.isolated_stops(t.stops)
     return found.select("stop_id", "stop_name",
@@ -128,7 +126,7 @@ def _(t):
 WITH {GRID_SQL}, {NEIGHBOUR_SQL},
 gaps AS (SELECT * FROM nearest WHERE km IS NULL OR km > 0.8e0)
 SELECT COUNT(*) AS gaps, COUNT(*) FILTER (WHERE km IS NULL OR km > 1.5e0) AS severe_gaps,
-  COUNT(*) FILTER (WHERE km IS NULL) AS unbounded_gaps, {R6.format('MAX(km)')} AS largest_gap_km,
+  COUNT(*) FILTER (WHERE km IS NULL) AS unbounded_gaps, {R6('MAX(km)')} AS largest_gap_km,
   (SELECT COUNT(*) FROM neighbours WHERE km IS NULL OR km > 1.0e0) AS isolated_stops,
   (SELECT COUNT(*) FROM routes WHERE route_type = 3) AS bus_routes,
   (SELECT COUNT(*) FROM routes WHERE route_type = 0) AS tram_routes FROM gaps""")
@@ -139,13 +137,13 @@ def _(t):
 
 @query("map_layers", f"""
 WITH {GRID_SQL}, {NEIGHBOUR_SQL}
-SELECT 'gaps' AS layer, {R6.format('lat')} AS lat, {R6.format('lon')} AS lon, CAST(NULL AS VARCHAR) AS label,
-  {R6.format('km')} AS size FROM nearest WHERE km IS NULL OR km > 0.8e0
-UNION ALL SELECT 'isolated_stops', {R6.format('stop_lat')}, {R6.format('stop_lon')}, stop_name, {R6.format('km')}
+SELECT 'gaps' AS layer, {R6('lat')} AS lat, {R6('lon')} AS lon, CAST(NULL AS VARCHAR) AS label,
+  {R6('km')} AS size FROM nearest WHERE km IS NULL OR km > 0.8e0
+UNION ALL SELECT 'isolated_stops', {R6('stop_lat')}, {R6('stop_lon')}, stop_name, {R6('km')}
   FROM neighbours WHERE km IS NULL OR km > 1.0e0
-UNION ALL SELECT * FROM (SELECT 'stop_sample', {R6.format('stop_lat')}, {R6.format('stop_lon')}, stop_name,
+UNION ALL SELECT * FROM (SELECT 'stop_sample', {R6('stop_lat')}, {R6('stop_lon')}, stop_name,
   CAST(NULL AS DOUBLE) FROM stops ORDER BY stop_lat, stop_lon, stop_id LIMIT 500)
-UNION ALL SELECT 'coverage_cells', {R6.format('lat_cell - 0.005e0')}, {R6.format('lon_cell - 0.005e0')},
+UNION ALL SELECT 'coverage_cells', {R6('lat_cell - 0.005e0')}, {R6('lon_cell - 0.005e0')},
   CASE WHEN n >= 20 THEN 'high' WHEN n >= 5 THEN 'medium' WHEN n >= 2 THEN 'low' ELSE 'desert' END,
   CAST(n AS DOUBLE) FROM (SELECT ROUND(stop_lat, 2) AS lat_cell, ROUND(stop_lon, 2) AS lon_cell, COUNT(*) AS n
   FROM stops GROUP BY 1, 2)""")
@@ -172,29 +170,30 @@ def _(t):
 @query("weather_correlate", f"""
 WITH {asof_sql('vehicle_positions', ['agency_id'], 'weather')}
 SELECT event_id, agency_id, timestamp, observation_time, weather_condition, weather_code,
-  {R6.format('temperature_celsius')} AS temperature_celsius, {SEVERE_SQL} AS is_severe FROM correlated""")
+  {R6('temperature_celsius')} AS temperature_celsius, COALESCE({SEVERE_SQL}, FALSE) AS is_severe FROM correlated""")
 def _(t):
     joined = weather.weather_correlate(t.positions, t.weather)
     return joined.select("event_id", "agency_id", "timestamp", "observation_time", "weather_condition",
                          "weather_code", rounded(F.col("temperature_celsius")).alias("temperature_celsius"),
-                         "is_severe")
+                         F.coalesce("is_severe", F.lit(False)).alias("is_severe"))
 
 
 @query("weather_grid_correlate", f"""
 WITH keyed AS (SELECT *, printf('%.2f,%.2f', latitude, longitude) AS location_key FROM vehicle_positions),
 stations AS (SELECT *, printf('%.2f,%.2f', latitude, longitude) AS location_key FROM weather),
 {asof_sql('keyed', ['location_key'], 'stations')}
-SELECT event_id, location_key, observation_time, weather_condition, {SEVERE_SQL} AS is_severe FROM correlated""")
+SELECT event_id, location_key, observation_time, weather_condition, COALESCE({SEVERE_SQL}, FALSE) AS is_severe FROM correlated""")
 def _(t):
     joined = weather.weather_grid_correlate(t.positions, t.weather)
-    return joined.select("event_id", "location_key", "observation_time", "weather_condition", "is_severe")
+    return joined.select("event_id", "location_key", "observation_time", "weather_condition",
+                         F.coalesce("is_severe", F.lit(False)).alias("is_severe"))
 
 
 @query("weather_impact", f"""
 WITH {asof_sql('vehicle_positions', ['agency_id'], 'weather')}
 SELECT route_id, COALESCE(weather_condition, 'UNKNOWN') AS weather_condition,
   COALESCE(BOOL_OR({SEVERE_SQL}), FALSE) AS is_severe, COUNT(*) AS observations,
-  {R6.format('AVG(speed * 3.6e0)')} AS avg_speed_kmh
+  {R6('AVG(speed * 3.6e0)')} AS avg_speed_kmh
 FROM correlated WHERE route_id IS NOT NULL GROUP BY 1, 2""")
 def _(t):
     impact = weather.weather_impact(t.positions, t.weather)
@@ -226,9 +225,9 @@ def _(t):
 
 GOLD_SQL = f"""
 SELECT DATE_TRUNC('hour', timestamp) AS hour_timestamp, agency_id, route_id,
-  COUNT(DISTINCT vehicle_id) AS total_vehicles, {R6.format('AVG(speed * 3.6e0)')} AS avg_speed_kmh,
-  {R6.format('MAX(speed * 3.6e0)')} AS max_speed_kmh,
-  {R6.format("AVG(CASE WHEN congestion_level = 'RUNNING_SMOOTHLY' THEN 1 WHEN congestion_level = 'STOP_AND_GO' THEN 2 WHEN congestion_level = 'CONGESTION' THEN 3 WHEN congestion_level = 'SEVERE_CONGESTION' THEN 4 ELSE 0 END)")}
+  COUNT(DISTINCT vehicle_id) AS total_vehicles, {R6('AVG(speed * 3.6e0)')} AS avg_speed_kmh,
+  {R6('MAX(speed * 3.6e0)')} AS max_speed_kmh,
+  {R6("AVG(CASE WHEN congestion_level = 'RUNNING_SMOOTHLY' THEN 1 WHEN congestion_level = 'STOP_AND_GO' THEN 2 WHEN congestion_level = 'CONGESTION' THEN 3 WHEN congestion_level = 'SEVERE_CONGESTION' THEN 4 ELSE 0 END)")}
     AS avg_congestion_score, COUNT(*) AS total_observations
 FROM {{}} WHERE route_id IS NOT NULL GROUP BY 1, 2, 3"""
 
@@ -243,7 +242,5 @@ WITH old AS ({GOLD_SQL.format("vehicle_positions")}), new AS ({GOLD_SQL.format("
 SELECT * FROM new UNION ALL SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE
   new.hour_timestamp = old.hour_timestamp AND new.agency_id = old.agency_id AND new.route_id = old.route_id)""")
 def _(t):
-    from checks.views import AS_OF
-
     old, new = gold_hourly(t.positions), gold_hourly(silver_filter(t.positions, as_of=AS_OF))
     return rounded_gold(upsert(old, new, ["hour_timestamp", "agency_id", "route_id"]))

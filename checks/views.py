@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway import contracts as C
@@ -17,6 +17,20 @@ from headway.session import configure, scratch_dir
 
 AS_OF = "2024-01-15 00:00:00"
 
+# Sums of doubles differ in their last bits with the order of the rows. Both sides
+# are cut to a fixed number of digits, at an offset that no short decimal falls on.
+_OFFSET = 0.37
+
+
+def rounded(column: Column, digits: int = 6) -> Column:
+    factor = float(10**digits)
+    return F.floor(column * factor + _OFFSET) / factor
+
+
+def rounded_sql(expression: str, digits: int = 6) -> str:
+    return f"FLOOR(({expression}) * 1e{digits} + {_OFFSET}e0) / 1e{digits}"
+
+
 POSITIONS = [
     "event_id",
     "CAST(user_id AS STRING) AS vehicle_id",

@@ -47,7 +47,7 @@ def latest_before(rows: DataFrame, observations: DataFrame, *, keys: list[str],
         F.max_by("_values", "_at").alias("_values"), F.max("_at").alias("_at")
     )
     carried = last_of_slot.withColumn(
-        "_slot", F.col("_slot") + F.explode(F.sequence(F.lit(1), F.lit(carried_slots)))
+        "_slot", F.explode(F.sequence(F.col("_slot") + 1, F.col("_slot") + carried_slots))
     )
     sources = with_every_salt(per_instant.unionByName(carried), salts)
     tagged = with_salt(

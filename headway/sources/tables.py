@@ -82,8 +82,8 @@ class Layers:
             *([F.to_date(time_column).alias("event_date")] if time_column else []),
             *([F.lit(batch_id).cast("bigint").alias("batch_id")] if batched else []),
         )
-        if not batched:
-            # gold: gather each date into few files; AQE splits a large date again
+        if time_column:
+            # gather each date into few files; AQE splits a large date and joins small ones
             rows = rows.hint("rebalance", "event_date")
         rows.write.mode("overwrite").insertInto(self.name(table))
 

@@ -24,7 +24,7 @@ def normal(df: pd.DataFrame) -> pd.DataFrame:
     for c in df.columns:
         if pd.api.types.is_datetime64_any_dtype(df[c]):
             df[c] = df[c].astype("datetime64[us]")
-        df[c] = df[c].map(lambda v: None if v is None or v is pd.NaT or v != v else v).astype(object)
+        df[c] = df[c].map(lambda v: None if pd.isna(v) else v).astype(object)
         df[c] = df[c].map(lambda v: "∅" if v is None else (repr(float(v)) if isinstance(v, float) else str(v)))
     return df.sort_values(list(df.columns)).reset_index(drop=True)
 
