@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import query
 from checks.functions import R6
 from checks.joins import GOLD_SQL, rounded_gold
-from checks.validation import UPDATE_RULES_SQL, VEHICLE_RULES_SQL, bad_sql
+from checks.validation import UPDATE_RULES_SQL, VEHICLE_RULES_FEED_SQL, bad_sql
 from checks.views import AS_OF, rounded
 from headway.operators import fleet, schedule
 from headway.operators.medallion import layer_metrics, silver_filter
@@ -133,17 +133,13 @@ def _(t):
     return metrics.withColumn("data_quality_rate", rounded(F.col("data_quality_rate")))
 
 
-_STALE = [r for r in VEHICLE_RULES_SQL if r[0] != "position_stale"] + [
-    ("position_stale", "timestamp < feed_timestamp - INTERVAL '300' SECOND")]
-
-
 @query("feed_stats", f"""
 WITH counts AS (SELECT (SELECT COUNT(*) FROM events) AS total_polls, (SELECT COUNT(*) FROM events) AS successful_polls,
   (SELECT 2 * COUNT(*) FROM events) AS total_entities,
-  (SELECT COUNT(*) FROM flat_vehicles WHERE NOT {bad_sql(_STALE)})
+  (SELECT COUNT(*) FROM flat_vehicles WHERE NOT {bad_sql(VEHICLE_RULES_FEED_SQL)})
     + (SELECT COUNT(*) FROM flat_updates WHERE NOT {bad_sql(UPDATE_RULES_SQL)}) AS valid_entities,
   (SELECT COUNT(*) FROM events WHERE event_id % 11 <> 0)
-    - (SELECT COUNT(*) FROM flat_vehicles WHERE NOT {bad_sql(_STALE)}) AS invalid_entities,
+    - (SELECT COUNT(*) FROM flat_vehicles WHERE NOT {bad_sql(VEHICLE_RULES_FEED_SQL)}) AS invalid_entities,
   (SELECT COUNT(*) FROM events WHERE event_id % 11 <> 0) + (SELECT COUNT(*) FROM flat_updates) AS all_rows)
 SELECT total_polls, successful_polls, total_entities, valid_entities, invalid_entities,
   successful_polls / total_polls AS success_rate, {R6('valid_entities / total_entities')} AS validation_rate,

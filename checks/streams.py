@@ -1 +1,145 @@
-"""Queries."""
+"""Queries that run a stream over the tables to its end and return what it wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks import query
+from checks.functions import POSITION_COLUMNS
+from checks.joins import GOLD_SQL, asof_sql, rounded_gold
+from checks.sources import as_observations, as_positions, layers
+from checks.validation import VEHICLE_RULES_FEED_SQL, VEHICLE_RULES_SQL, bad_sql, names_sql
+from checks.views import AS_OF, POSITIONS
+from headway import contracts as C
+from headway.sources.feed import stream_feed
+from headway.streaming import events, medallion
+
+
+def position_stream(t):
+    """The events file as a stream."""
+    schema = t.raw("events").schema
+    stream = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.dir)
+    return stream.selectExpr(*POSITIONS)
+
+
+def stored(t, parts, label):
+    """Frames written one after the other, so that a stream takes them up in that order."""
+    path = t.scratch(label)
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def to_files(t, stream, *, mode="append"):
+    """Run a stream to its end into Parquet files and read them."""
+    out = t.scratch("out")
+    stream.writeStream.format("parquet").outputMode(mode).option(
+        "checkpointLocation", t.scratch("checkpoint")).trigger(availableNow=True).start(out).awaitTermination()
+    return t.spark.read.schema(stream.schema).parquet(out)
+
+
+def run_medallion(t, **options):
+    """The continuous run over the nested feed; age is measured against the feed time."""
+    path = t.scratch("messages")
+    t.feed.write.parquet(path)
+    tables = layers(t)
+    medallion.start_medallion(
+        stream_feed(t.spark, path), tables, checkpoint=t.scratch("checkpoint"), agency_id="city",
+        as_of="feed", available_now=True, **options).awaitTermination()
+    return tables
+
+
+VALID_SQL = f"SELECT * FROM flat_vehicles WHERE NOT {bad_sql(VEHICLE_RULES_FEED_SQL)}"
+
+
+@query("stream_medallion", f"SELECT {POSITION_COLUMNS} FROM ({VALID_SQL})")
+def _(t):
+    return as_positions(run_medallion(t).table("silver.vehicle_positions"))
+
+
+@query("stream_progress", f"""
+SELECT CAST(1 AS BIGINT) AS batches, COUNT(*) AS processed_rows,
+  COUNT(*) FILTER (WHERE NOT {bad_sql(VEHICLE_RULES_FEED_SQL)}) AS valid_rows,
+  COUNT(*) FILTER (WHERE {bad_sql(VEHICLE_RULES_FEED_SQL)}) AS invalid_rows,
+  COUNT(*) FILTER (WHERE NOT {bad_sql(VEHICLE_RULES_FEED_SQL)}) AS silver_rows FROM flat_vehicles""")
+def _(t):
+    return medallion.progress(run_medallion(t))
+
+
+@query("stream_medallion_gold", GOLD_SQL.format(f"({VALID_SQL})").replace(
+    "COUNT(DISTINCT vehicle_id)", "CAST(COUNT(DISTINCT vehicle_id) AS INT)").replace(
+    "COUNT(*) AS total_obs", "CAST(COUNT(*) AS INT) AS total_obs"))
+def _(t):
+    return rounded_gold(run_medallion(t, gold_every=1).table("gold.hourly_vehicle_metrics"))
+
+
+@query("stream_alerts", f"""
+SELECT concat('dqa_', strftime(TIMESTAMP '{AS_OF}', '%Y%m%d_%H%M%S'), '_', vehicle_id) AS alert_id,
+  vehicle_id AS entity_id, agency_id, replace({names_sql(VEHICLE_RULES_SQL)}, ';', '; ') AS error_message,
+  TIMESTAMP '{AS_OF}' AS detected_at FROM vehicle_positions WHERE {bad_sql(VEHICLE_RULES_SQL)}""")
+def _(t):
+    found = to_files(t, events.alert_stream(position_stream(t), as_of=AS_OF))
+    return found.select("alert_id", "entity_id", "agency_id", "error_message", "detected_at")
+
+
+@query("stream_freshness", f"""
+SELECT {POSITION_COLUMNS} FROM vehicle_positions WHERE timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL '300' SECOND""")
+def _(t):
+    return as_positions(to_files(t, events.fresh_only(position_stream(t), as_of=AS_OF)))
+
+
+@query("stream_dedup", "SELECT DISTINCT vehicle_id, timestamp FROM vehicle_positions")
+def _(t):
+    """Every position delivered twice, in two files."""
+    schema = t.positions.schema
+    path = t.scratch("delivered")
+    for _repeat in range(2):
+        t.positions.write.mode("append").parquet(path)
+    twice = t.spark.readStream.schema(schema).parquet(path)
+    return to_files(t, events.deduplicated(twice, within="10 minutes").select("vehicle_id", "timestamp"))
+
+
+@query("stream_first_seen", """
+WITH early AS (SELECT * FROM vehicle_positions WHERE timestamp < TIMESTAMP '2024-01-01 06:00:00'
+  AND (speed IS NULL OR speed BETWEEN 0 AND 33.3e0)),
+late AS (SELECT * FROM vehicle_positions WHERE timestamp >= TIMESTAMP '2024-01-01 06:00:00'
+  AND (speed IS NULL OR speed BETWEEN 0 AND 33.3e0) AND vehicle_id NOT IN (SELECT vehicle_id FROM early))
+SELECT vehicle_id, timestamp, speed FROM early UNION ALL SELECT vehicle_id, timestamp, speed FROM late""")
+def _(t):
+    """Two batches: the first six hours, then the rest."""
+    first = F.col("timestamp") < F.lit("2024-01-01 06:00:00").cast("timestamp")
+    rows = as_positions(t.positions)
+    path = stored(t, [rows.where(first), rows.where(~first)], "positions")
+    tables = layers(t)
+    stream = t.spark.readStream.schema(C.VEHICLE_POSITION).option("maxFilesPerTrigger", 1).parquet(path)
+    medallion.start_first_seen(stream, tables, checkpoint=t.scratch("checkpoint"), as_of="2024-01-01",
+                               available_now=True).awaitTermination()
+    return tables.table("silver.vehicle_positions").select("vehicle_id", "timestamp", "speed")
+
+
+@query("stream_hourly_gold", f"""
+SELECT * FROM ({GOLD_SQL.format("vehicle_positions")})
+WHERE hour_timestamp + INTERVAL '1' HOUR <= (SELECT MAX(timestamp) FROM vehicle_positions WHERE route_id IS NOT NULL)
+  - INTERVAL '10' MINUTE""")
+def _(t):
+    """Hours the watermark has passed; the last one stays open."""
+    return rounded_gold(to_files(t, events.hourly_metrics(position_stream(t))))
+
+
+@query("stream_weather", f"""
+WITH {asof_sql('vehicle_positions', ['agency_id'], 'weather')}
+SELECT vehicle_id, timestamp, observation_time, weather_condition,
+  COALESCE(weather_condition IN ('HEAVY_RAIN', 'SNOW', 'THUNDERSTORM'), FALSE) AS is_severe FROM correlated""")
+def _(t):
+    """One stream fills the weather table, a second joins positions to it."""
+    tables = layers(t)
+    path = stored(t, [as_observations(t.weather)], "weather")
+    observations = t.spark.readStream.schema(C.WEATHER_OBSERVATION).parquet(path)
+    medallion.start_weather(observations, tables, checkpoint=t.scratch("checkpoint"),
+                            available_now=True).awaitTermination()
+    out = t.scratch("joined")
+    medallion.start_weather_join(position_stream(t).drop("event_id"), tables, checkpoint=t.scratch("checkpoint"),
+                                 path=out, available_now=True).awaitTermination()
+    joined = t.spark.read.parquet(out)
+    return joined.select("vehicle_id", "timestamp", "observation_time", "weather_condition",
+                         F.coalesce("is_severe", F.lit(False)).alias("is_severe"))

@@ -32,6 +32,10 @@ VEHICLE_RULES_SQL = [
     ("timestamp_missing", "timestamp IS NULL"),
     ("position_stale", f"timestamp IS NOT NULL AND timestamp < {AS_OF_SQL} - INTERVAL '300' SECOND"),
 ]
+# age measured against the feed time instead
+VEHICLE_RULES_FEED_SQL = VEHICLE_RULES_SQL[:-1] + [
+    ("position_stale", "timestamp < feed_timestamp - INTERVAL '300' SECOND"),
+]
 UPDATE_RULES_SQL = [
     ("trip_id_missing", "COALESCE(trip_id, '') = ''"),
     ("stop_id_missing", "COALESCE(stop_id, '') = ''"),

@@ -19,11 +19,14 @@ def ensure_utc(ts: Column, zone: str | None = None) -> Column:
 
 
 def moment(as_of) -> Column:
-    """``as_of`` as a column: a Column, a datetime, an ISO string, or None for now."""
+    """``as_of`` as a column: a Column, a datetime, an ISO string, "feed" for each row's own
+    feed time, or None for now."""
     if as_of is None:
         return F.current_timestamp()
     if isinstance(as_of, Column):
         return as_of
+    if isinstance(as_of, str) and as_of == "feed":
+        return F.col("feed_timestamp")
     if isinstance(as_of, str):
         as_of = datetime.fromisoformat(as_of)
     if as_of.tzinfo is None:

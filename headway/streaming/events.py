@@ -56,4 +56,4 @@ def hourly_metrics(stream: DataFrame, *, late_by: str = "10 minutes") -> DataFra
 def alert_stream(stream: DataFrame, *, as_of=None) -> DataFrame:
     """Alerts for the positions of a stream that break their contract."""
     return alerts(stream, vehicle_rules(as_of), entity_type="vehicle_position",
-                  entity_id="vehicle_id", as_of=None if isinstance(as_of, str) else as_of)
+                  entity_id="vehicle_id", as_of=as_of)

@@ -51,14 +51,13 @@ class MedallionWriter:
         layers = self.layers
         as_of = self.as_of or datetime.now(timezone.utc)
         rules = vehicle_rules(as_of)
-        detected = F.col("feed_timestamp") if as_of == "feed" else as_of
         rows = layers.batch("bronze.vehicle_positions", batch_id)
         layers.write_batch(
             "bronze.quality_alerts",
-            alerts(rows, rules, entity_type="vehicle_position", entity_id="vehicle_id", as_of=detected),
+            alerts(rows, rules, entity_type="vehicle_position", entity_id="vehicle_id", as_of=as_of),
             batch_id,
         )
-        layers.promote(keep_valid(rows, rules), batch_id, as_of=detected)
+        layers.promote(keep_valid(rows, rules), batch_id, as_of=as_of)
         layers.write_batch("gold.feed_progress", batch_progress(layers, rules, batch_id), batch_id)
         if (batch_id + 1) % self.gold_every == 0:
             since = batch_id + 1 - self.gold_every
