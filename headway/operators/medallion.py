@@ -39,7 +39,7 @@ def first_batch_only(positions: DataFrame, seen: DataFrame, *,
     allowed = is_empty | (F.col("vehicle_id").isNotNull() & ~has_null)
     return salted_join(
         positions.where(allowed), ids.distinct(), ["vehicle_id"], "left_anti",
-        spread_by=["timestamp", "latitude", "longitude"], salts=salts,
+        spread_by=["timestamp"], salts=salts,
     )
 
 

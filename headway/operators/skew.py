@@ -10,8 +10,14 @@ _SALT = "_salt"
 
 
 def with_salt(large: DataFrame, spread_by: list[str], salts: int) -> DataFrame:
-    """Give each row a salt from its own values, so a repeated run gives the same rows."""
-    return large.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    """Give each row a salt from some of its values and the number of its partition.
+
+    The partition number spreads exact copies too. Unlike a random number it is
+    the same when a lost task is run again. Name few and cheap columns: they are
+    evaluated for every row.
+    """
+    mixed = F.xxhash64(*spread_by) + F.spark_partition_id()
+    return large.withColumn(_SALT, F.pmod(mixed, F.lit(salts)).cast("int"))
 
 
 def with_every_salt(small: DataFrame, salts: int) -> DataFrame:

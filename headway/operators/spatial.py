@@ -83,7 +83,7 @@ def radius_join(points: DataFrame, positions: DataFrame, *, radius_m: float,
         .drop("_columns")
     )
     pairs = salted_join(placed, around, ["_band", "_cell"],
-                        spread_by=positions.columns, salts=salts)
+                        spread_by=["latitude", "longitude"], salts=salts)
     return (
         pairs.withColumn(
             "distance_meters",

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway import contracts as C
+from headway.functions.codes import decode
 from headway.functions.times import alert_id, epoch_to_ts, moment, older_than
 from headway.operators.flatten import has_trip, trip_update_fields, vehicle_fields
 
@@ -176,10 +177,8 @@ def validate_weather(df: DataFrame, *, as_of=None, **limits) -> DataFrame:
 def quality_split(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Row counts per outcome: ``valid``, ``invalid`` and one row per broken rule."""
     bad = broken_rules(rules)
-    outcome = F.when(F.size(bad) == 0, F.array(F.lit("valid"))).otherwise(
-        F.concat(F.array(F.lit("invalid")), bad)
-    )
-    return df.select(F.explode(outcome).alias("outcome")).groupBy("outcome").agg(
+    verdict = F.when(F.size(bad) == 0, "valid").otherwise("invalid")
+    return df.select(F.explode(F.concat(F.array(verdict), bad)).alias("outcome")).groupBy("outcome").agg(
         F.count(F.lit(1)).alias("records")
     )
 
@@ -187,23 +186,26 @@ def quality_split(df: DataFrame, rules: list[Rule]) -> DataFrame:
 def alerts(df: DataFrame, rules: list[Rule], *, entity_type: str, entity_id: str,
            as_of=None, severity: str = "MEDIUM") -> DataFrame:
     """One alert per row that breaks a rule; its first broken rule gives type, field and value."""
-    first_type, first_field, first_value = F, F, F
-    for rule in rules:
-        first_type = first_type.when(rule.bad, rule.alert_type)
-        first_field = first_field.when(rule.bad, rule.field)
-        first_value = first_value.when(rule.bad, F.col(rule.field).cast("string"))
     detected = moment(as_of)
-    return df.where(any_broken(rules)).select(
-        alert_id(detected, F.col(entity_id)).alias("alert_id"),
-        first_type.alias("alert_type"),
-        F.lit(severity).alias("severity"),
-        F.lit(entity_type).alias("entity_type"),
-        F.col(entity_id).alias("entity_id"),
-        F.col("agency_id"),
-        F.array_join(broken_rules(rules), "; ").alias("error_message"),
-        first_field.alias("field_name"),
-        first_value.alias("field_value"),
-        detected.alias("detected_at"),
+    first = F.element_at("_broken", 1)
+    value = F
+    for rule in rules:
+        value = value.when(first == rule.name, F.col(rule.field).cast("string"))
+    return (
+        df.where(any_broken(rules))
+        .withColumn("_broken", broken_rules(rules))
+        .select(
+            alert_id(detected, F.col(entity_id)).alias("alert_id"),
+            decode(first, {rule.name: rule.alert_type for rule in rules}).alias("alert_type"),
+            F.lit(severity).alias("severity"),
+            F.lit(entity_type).alias("entity_type"),
+            F.col(entity_id).alias("entity_id"),
+            F.col("agency_id"),
+            F.array_join("_broken", "; ").alias("error_message"),
+            decode(first, {rule.name: rule.field for rule in rules}).alias("field_name"),
+            value.alias("field_value"),
+            detected.alias("detected_at"),
+        )
     )
 
 

@@ -55,7 +55,7 @@ def latest_before(rows: DataFrame, observations: DataFrame, *, keys: list[str],
         .withColumn("_at", F.col(row_time))
         .withColumn("_slot", slot_of(F.col(row_time)))
         .select(*keys, "_at", "_slot", "_row"),
-        ["_row"], salts,
+        ["_at"], salts,
     )
     both = tagged.unionByName(
         sources.select(*keys, "_at", "_slot", "_salt",

@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # HotSpot does not compile methods above 8000 bytes; larger stages then run operator by operator
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
