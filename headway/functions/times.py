@@ -52,20 +52,20 @@ def _two_decimals(degrees: Column) -> Column:
     """The value rounded to hundredths by its exact binary value, ties to even.
 
     ``x * 100`` is rounded itself, so values next to a tie (45.205) would fall
-    on the wrong side. The residual below is exact for |x| < 2**20: ``high`` has
-    few enough bits that neither product nor difference loses any.
+    on the wrong side. ``high`` has few enough bits that its products and
+    differences lose none, so the signs of ``above`` and ``below`` are exact.
     """
     high = F.floor(degrees * 1048576.0).cast("double") / 1048576.0
-    low = degrees - high
+    low = (degrees - high) * 100.0
     nearest = F.rint(degrees * 100.0)
-    residual = (high * 100.0 - nearest) + low * 100.0
+    above = (high * 100.0 - nearest - 0.5) + low
+    below = (high * 100.0 - nearest + 0.5) + low
     odd = nearest % 2 != 0
-    step = (
-        F.when((residual > 0.5) | ((residual == 0.5) & odd), 1.0)
-        .when((residual < -0.5) | ((residual == -0.5) & odd), -1.0)
-        .otherwise(0.0)
-    )
-    return F.when(step == 0.0, nearest).otherwise(nearest + step) / 100.0
+    return (
+        F.when((above > 0) | ((above == 0) & odd), nearest + 1.0)
+        .when((below < 0) | ((below == 0) & odd), nearest - 1.0)
+        .otherwise(nearest)
+    ) / 100.0
 
 
 def location_key(lat: Column, lon: Column) -> Column:

@@ -51,6 +51,12 @@ def weather_current(responses: DataFrame, *, observed_at=None) -> DataFrame:
     )
 
 
+def _iso_time(text: Column) -> Column:
+    """Timestamp of an ISO text, with or without seconds and zone; NULL for other text."""
+    with_seconds = F.regexp_replace(text, r"(T\d\d:\d\d)(Z|[+-]|$)", "$1:00$2")
+    return F.try_to_timestamp(with_seconds)
+
+
 def weather_forecast(responses: DataFrame, *, hours_ahead: int = 24, keep: tuple[str, ...] = ()) -> DataFrame:
     """Hourly rows from parallel arrays: the first ``hours_ahead`` times, NULL where an array is short."""
     hourly = F.col("hourly")
@@ -61,6 +67,6 @@ def weather_forecast(responses: DataFrame, *, hours_ahead: int = 24, keep: tuple
         *keep, "hourly", F.posexplode(F.slice(hourly["time"], 1, hours_ahead)).alias("hour_index", "time_text")
     ).select(
         *keep, "hour_index",
-        F.to_timestamp("time_text").alias("time"),
+        _iso_time(F.col("time_text")).alias("time"),
         *[F.get(hourly[source], at).alias(name) for source, name in names.items()],
     )
