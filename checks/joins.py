@@ -19,9 +19,10 @@ nearest AS (SELECT lat, lon, MIN(SQRT(POW(stop_lat - lat, 2) + POW(stop_lon - lo
   FROM grid LEFT JOIN stops ON ABS(stop_lat - lat) < 0.01e0 AND ABS(stop_lon - lon) < 0.01e0 GROUP BY lat, lon)"""
 # the nearest other stop of every stop, over all pairs
 NEIGHBOUR_SQL = """
-neighbours AS (SELECT s.stop_id, s.stop_name, s.stop_lat, s.stop_lon,
+numbered AS MATERIALIZED (SELECT *, ROW_NUMBER() OVER () AS nth FROM stops),
+neighbours AS (SELECT s.nth, s.stop_id, s.stop_name, s.stop_lat, s.stop_lon,
   MIN(SQRT(POW(s.stop_lat - o.stop_lat, 2) + POW(s.stop_lon - o.stop_lon, 2)) * 111) AS km
-  FROM stops s LEFT JOIN stops o ON s.stop_id <> o.stop_id AND ABS(s.stop_lat - o.stop_lat) < 0.05e0
+  FROM numbered s LEFT JOIN numbered o ON s.nth <> o.nth AND ABS(s.stop_lat - o.stop_lat) < 0.05e0
     AND ABS(s.stop_lon - o.stop_lon) < 0.05e0 GROUP BY ALL)"""
 
 
@@ -142,7 +143,7 @@ SELECT 'gaps' AS layer, {R6('lat')} AS lat, {R6('lon')} AS lon, CAST(NULL AS VAR
 UNION ALL SELECT 'isolated_stops', {R6('stop_lat')}, {R6('stop_lon')}, stop_name, {R6('km')}
   FROM neighbours WHERE km IS NULL OR km > 1.0e0
 UNION ALL SELECT * FROM (SELECT 'stop_sample', {R6('stop_lat')}, {R6('stop_lon')}, stop_name,
-  CAST(NULL AS DOUBLE) FROM stops ORDER BY stop_lat, stop_lon, stop_id LIMIT 500)
+  CAST(NULL AS DOUBLE) FROM stops ORDER BY stop_lat, stop_lon, stop_id, stop_name LIMIT 500)
 UNION ALL SELECT 'coverage_cells', {R6('lat_cell - 0.005e0')}, {R6('lon_cell - 0.005e0')},
   CASE WHEN n >= 20 THEN 'high' WHEN n >= 5 THEN 'medium' WHEN n >= 2 THEN 'low' ELSE 'desert' END,
   CAST(n AS DOUBLE) FROM (SELECT ROUND(stop_lat, 2) AS lat_cell, ROUND(stop_lon, 2) AS lon_cell, COUNT(*) AS n

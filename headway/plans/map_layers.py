@@ -12,7 +12,7 @@ def stop_sample(stops: DataFrame, *, top: int = 500) -> DataFrame:
     """The first stops from the south-west, drawn for context."""
     return (
         stops.select("stop_id", "stop_name", "stop_lat", "stop_lon")
-        .orderBy("stop_lat", "stop_lon", "stop_id")
+        .orderBy("stop_lat", "stop_lon", "stop_id", "stop_name")
         .limit(top)
     )
 

@@ -12,11 +12,12 @@ from tests.oracle import compare, connect
 def main() -> None:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--dir", help="folder of the tables, instead of a scale factor")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     import __spark_entry__ as entry
 
-    sf_dir = f"/root/testdata/sf{args.sf}"
+    sf_dir = args.dir or f"/root/testdata/sf{args.sf}"
     spark = local_session("oracles", "8")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
