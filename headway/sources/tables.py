@@ -25,6 +25,9 @@ TABLES = {
         "processed_rows BIGINT, valid_rows BIGINT, invalid_rows BIGINT, silver_rows BIGINT", None, True),
 }
 
+# batches between two full copies of the promoted ids
+SEEN_FOLD = 100
+
 
 def replace_table(df: DataFrame, name: str) -> None:
     """Create the table from a query, or replace it."""
@@ -91,13 +94,16 @@ class Layers:
 
     # --- bronze -------------------------------------------------------------------
 
+    def store_bronze(self, table: str, df: DataFrame, batch_id: int, *, ingested_at=None) -> None:
+        stamp = F.current_timestamp() if ingested_at is None else ingested_at
+        self.write_batch(table, df.withColumn("ingestion_timestamp", stamp), batch_id)
+
     def append_bronze(self, table: str, df: DataFrame, batch_id: int, *, ingested_at=None) -> int:
         """Append records as they came, stamped with the ingestion time; returns their number.
 
         The number comes from the footers of the files written, not from a second run.
         """
-        stamp = F.current_timestamp() if ingested_at is None else ingested_at
-        self.write_batch(table, df.withColumn("ingestion_timestamp", stamp), batch_id)
+        self.store_bronze(table, df, batch_id, ingested_at=ingested_at)
         return self.with_partitions(table).where(F.col("batch_id") == batch_id).count()
 
     def append_positions(self, df: DataFrame, batch_id: int, **stamp) -> int:
@@ -116,18 +122,33 @@ class Layers:
 
     # --- silver and gold -----------------------------------------------------------
 
+    def seen_before(self, batch_id: int) -> DataFrame:
+        """Ids promoted by batches before this one.
+
+        Every ``SEEN_FOLD``-th batch stores all ids so far, so at most that many
+        small partitions are read, however long the stream has run.
+        """
+        seen = self.with_partitions("silver.seen_vehicles").where(F.col("batch_id") < batch_id)
+        start = max(batch_id - 1, 0) // SEEN_FOLD * SEEN_FOLD
+        name = self.name("silver.seen_vehicles")
+        if self.spark.sql(f"SHOW PARTITIONS {name} PARTITION (batch_id = {start})").isEmpty():
+            return seen  # nothing promoted at that batch, or batch ids with holes
+        return seen.where(F.col("batch_id") >= start)
+
     def promote(self, rows: DataFrame, batch_id: int, *, as_of=None) -> None:
         """Move fit rows of vehicles not promoted by an earlier batch to silver.
 
         The ids promoted so far are kept in their own small table, so a batch
         never scans silver itself.
         """
-        seen = self.with_partitions("silver.seen_vehicles").where(F.col("batch_id") < batch_id)
+        seen = self.seen_before(batch_id)
         self.write_batch(
             "silver.vehicle_positions", first_batch_only(silver_filter(rows, as_of=as_of), seen), batch_id
         )
-        promoted = self.batch("silver.vehicle_positions", batch_id).select("vehicle_id").distinct()
-        self.write_batch("silver.seen_vehicles", promoted, batch_id)
+        promoted = self.batch("silver.vehicle_positions", batch_id).select("vehicle_id")
+        if batch_id and batch_id % SEEN_FOLD == 0:
+            promoted = promoted.unionByName(seen.select("vehicle_id"))
+        self.write_batch("silver.seen_vehicles", promoted.distinct(), batch_id)
 
     def refresh_hourly(self, since_batch: int | None = None) -> None:
         """Rebuild the hourly metrics of the dates that batches since ``since_batch`` touched."""

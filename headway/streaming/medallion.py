@@ -38,10 +38,10 @@ class MedallionWriter:
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
         messages.persist()
         try:
-            self.layers.append_positions(flatten_vehicles(messages, agency_id=self.agency_id), batch_id)
-            self.layers.append_trip_updates(
-                flatten_trip_updates(messages, agency_id=self.agency_id), batch_id
-            )
+            self.layers.store_bronze("bronze.vehicle_positions",
+                                     flatten_vehicles(messages, agency_id=self.agency_id), batch_id)
+            self.layers.store_bronze("bronze.trip_updates",
+                                     flatten_trip_updates(messages, agency_id=self.agency_id), batch_id)
         finally:
             messages.unpersist()
         self.settle(batch_id)
@@ -99,7 +99,7 @@ def start_first_seen(positions: DataFrame, layers: Layers, *, checkpoint: str, a
                      interval: str = POLL_INTERVAL, available_now: bool = False):
     """Promote a stream of flat positions: a vehicle enters silver with its first batch only."""
     def promote(rows: DataFrame, batch_id: int) -> None:
-        layers.append_positions(rows, batch_id)
+        layers.store_bronze("bronze.vehicle_positions", rows, batch_id)
         stored = layers.batch("bronze.vehicle_positions", batch_id)
         layers.promote(stored, batch_id, as_of=as_of or datetime.now(timezone.utc))
 
@@ -111,7 +111,7 @@ def start_weather(observations: DataFrame, layers: Layers, *, checkpoint: str,
                   interval: str = WEATHER_INTERVAL, available_now: bool = False):
     """Keep the weather table up to date from a stream of observations."""
     def store(rows: DataFrame, batch_id: int) -> None:
-        layers.append_weather(rows, batch_id)
+        layers.store_bronze("bronze.weather_observations", rows, batch_id)
 
     writer = observations.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _schedule(writer, interval, available_now).start()

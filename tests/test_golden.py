@@ -111,3 +111,19 @@ def test_slow_zone_routes(spark):
         "latitude DOUBLE, longitude DOUBLE, speed DOUBLE, route_id STRING")
     zones = fleet.slow_zones(rows, threshold_kmh=10.0).collect()
     assert [(r.lat_zone, r.observation_count, r.affected_routes) for r in zones] == [(45.9, 1, None), (45.5, 3, "a, b")]
+
+
+def test_promoted_ids_are_folded(spark, mock_fleet, tmp_path, monkeypatch):
+    """Full copies of the ids every third batch, with and without gaps in the batch ids."""
+    monkeypatch.setattr("headway.sources.tables.SEEN_FOLD", 3)
+    layers = Layers(spark, str(tmp_path), prefix="fold_").init()
+    for n, batch in enumerate([0, 1, 2, 3, 4, 6, 7, 11]):
+        # each batch brings two vehicles of the one before and two new ones
+        rows = mock_fleet.withColumn("ingestion_timestamp", F.lit(NOW)).where(
+            F.substring_index("vehicle_id", "_", -1).cast("int").between(2 * n - 2, 2 * n + 1))
+        layers.promote(rows, batch, as_of=NOW)
+    silver = layers.table("silver.vehicle_positions")
+    assert silver.count() == silver.select("vehicle_id").distinct().count() == 16
+    folded = layers.with_partitions("silver.seen_vehicles").groupBy("batch_id").count().collect()
+    assert {r.batch_id: r["count"] for r in folded} == {0: 2, 1: 2, 2: 2, 3: 8, 4: 2, 6: 12, 7: 2, 11: 2}
+    assert layers.seen_before(8).count() == 14
