@@ -5,7 +5,6 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from headway import contracts as C
 from headway.operators import fleet, schedule, spatial
 from headway.sources.tables import Layers
 

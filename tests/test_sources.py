@@ -4,7 +4,6 @@ import json
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from headway import contracts as C
 from headway.operators import schedule as S

@@ -5,8 +5,6 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
-
 from headway.operators.weather import delay_by_weather, latest_before, weather_correlate, weather_impact
 from headway.sources.weather import parse_response, weather_current, weather_forecast
 
@@ -26,8 +24,8 @@ def latest(rows, observations, max_age):
     return result
 
 
-@pytest.mark.parametrize("max_age, salts", [(3600, 8), (3600, 1), (10, 3), (7, 2), (1, 2)])
-def test_latest_before(spark, max_age, salts):
+@pytest.mark.parametrize("max_age, rows_per_task", [(3600, 2_000_000), (3600, 5), (10, 3), (7, 50), (1, 2)])
+def test_latest_before(spark, max_age, rows_per_task):
     rng = random.Random(max_age)
 
     def moment():
@@ -44,13 +42,25 @@ def test_latest_before(spark, max_age, salts):
     left = spark.createDataFrame([(i, k, at) for i, (k, at) in enumerate(rows)], "id INT, k STRING, at TIMESTAMP")
     right = spark.createDataFrame(observations, "k STRING, seen TIMESTAMP, v INT")
     joined = latest_before(left, right, keys=["k"], row_time="at", observation_time="seen", values=["v"],
-                           max_age_s=max_age, salts=salts).collect()
+                           max_age_s=max_age, rows_per_task=rows_per_task).collect()
     got = {r.id: r.v for r in joined}
     assert len(joined) == len(rows)
     want = latest(rows, observations, max_age)
     assert [(i, got[i], want[i]) for i in range(len(rows)) if got[i] != want[i]] == []
 
 
+def test_crowded_slot_is_shared_out(spark):
+    """A third of the rows are copies of one row; no window may hold them all."""
+    from headway.operators.skew import crowded_groups, with_salt
+
+    rows = spark.range(0, 9000, 1, 30).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS k",
+                                                  "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS at")
+    crowded = crowded_groups(rows, ["k"], 100)
+    assert [tuple(r) for r in crowded.collect()] == [("hot", 30)]
+    salted = with_salt(rows.join(crowded, "k", "left").where("k = 'hot'"), ["at"], crowded.select("_salts").scalar())
+    assert salted.groupBy("_salt").count().count() > 10
+
+
 def test_correlate_flags_severe_weather(spark):
     seen = spark.createDataFrame([("a", START, "SNOW", 71, -3.0, 1.0, 5.0)], OBSERVATION)
     rows = spark.createDataFrame(
