@@ -203,6 +203,21 @@ def _(t):
 
 
 
+@query("delay_by_weather", f"""
+WITH moved AS (SELECT agency_id, route_id, arrival_delay,
+  TIMESTAMP '2024-01-01' + to_days(CAST(day(timestamp) AS INT) - 1) AS timestamp FROM trip_updates),
+{asof_sql('moved', ['agency_id'], 'weather')}
+SELECT route_id, COALESCE(weather_condition, 'UNKNOWN') AS weather_condition, COUNT(*) AS observations,
+  {R6('AVG(arrival_delay)')} AS avg_delay_seconds, MAX(arrival_delay) AS max_delay_seconds
+FROM correlated GROUP BY 1, 2""")
+def _(t):
+    # all shipping dates moved into the one month that has weather
+    moved = t.trip_updates.withColumn("timestamp", F.expr(
+        "TIMESTAMP '2024-01-01' + make_dt_interval(day(timestamp) - 1)"))
+    delays = weather.delay_by_weather(moved, t.weather)
+    return delays.withColumn("avg_delay_seconds", rounded(F.col("avg_delay_seconds")))
+
+
 @query("schedule_validity", """
 SELECT trip_id, route_id, stop_sequence FROM (SELECT *, CAST(CAST(route_id AS BIGINT) + CAST(trip_id AS BIGINT) % 3
   AS VARCHAR) AS named FROM trip_updates) WHERE named NOT IN (SELECT route_id FROM routes)""")

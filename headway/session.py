@@ -16,6 +16,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # HotSpot does not compile methods above 8000 bytes; larger stages then run operator by operator
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # streaming state beyond memory
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
