@@ -8,9 +8,9 @@ different surroundings of one core form a collection of short strings, cut into
 shards: each shard is suffix-sorted by itself and gives a Burrows-Wheeler
 transform, and two shards at a time are merged by refining their interleave
 symbol by symbol. The refinement splits the merged order into blocks; the step
-that splits two neighbours is their common prefix, and blocks that are whole
-after LENGTH - CORE steps are the repeated intervals. Suffixes are never sorted
-again. A core with very many surroundings has more shards, every pair of which
+that splits two suffixes is their common prefix, and blocks that hold several
+suffixes after LENGTH - CORE steps are the repeated intervals. Blocks of one
+suffix are left alone, and suffixes are never sorted again. A core with very many surroundings has more shards, every pair of which
 meets in some task, so a task's input stays bounded.
 
 Defined results: null texts count as empty; documents shorter than LENGTH keep
@@ -96,81 +96,93 @@ class Shard:
     def __init__(self, strings: list[bytes]):
         m = len(strings)
         sizes = np.array([len(s) + 1 for s in strings], np.int64)
-        self.ends = np.cumsum(sizes)
-        text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int64) + 1 if m else np.zeros(0, np.int64)
-        if m:
-            text[self.ends - 1] = 0
-        n = len(text)
-        # ends differ from each other, so no comparison goes beyond one
-        rank = text + m
-        if m:
-            rank[self.ends - 1] = np.arange(m)
-        step = 1
+        ends = np.cumsum(sizes)
+        text = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8).astype(np.int64) + 1
+        text[ends - 1] = 0
+        owner = np.repeat(np.arange(m), sizes)
+        left_over = ends[owner] - np.arange(len(text))  # symbols up to and with the end
+        # ranks by the first seven symbols, then doubled; nothing behind an end is looked at, equal suffixes keep text order
+        rank = np.zeros(len(text), np.int64)
+        for i in range(7):
+            follow = np.zeros(len(text), np.int64)
+            follow[:max(0, len(text) - i)] = text[i:]
+            rank = rank * 257 + np.where(left_over > i, follow, 0)
+        step = 7
         order = np.argsort(rank, kind="stable")
-        while n:
-            rank_sorted = rank[order]
-            dense = np.concatenate([[0], np.cumsum(rank_sorted[1:] != rank_sorted[:-1])])
-            rank = np.empty(n, np.int64)
+        while True:
+            in_order = rank[order]
+            dense = np.concatenate([[0], np.cumsum(in_order[1:] != in_order[:-1])]) if m else rank
+            rank = np.empty(len(text), np.int64)
             rank[order] = dense
-            if dense[-1] == n - 1:
+            if step >= sizes.max(initial=0) or dense[-1] == len(text) - 1:
                 break
-            follow = np.zeros(n, np.int64)
+            follow = np.zeros(len(text), np.int64)
             follow[:-step] = rank[step:] + 1
-            rank = rank * (n + 1) + follow
+            rank = rank * (len(text) + 1) + np.where(left_over > step, follow, 0)
             order = np.argsort(rank, kind="stable")
             step *= 2
-        self.suffixes = order
-        before = np.empty(n, np.int64)
-        before[1:], before[:1] = text[:-1], 0
-        if m:
-            before[self.ends - sizes] = 0  # what stands before a string's first byte is an end
-        self.transform = before[order].astype(np.uint16) if n else np.zeros(0, np.uint16)
-        self.owner = np.searchsorted(self.ends, order, side="right")
-        self.offset = order - (self.ends - sizes)[self.owner] if m else order
+        before = np.concatenate([[0], text[:-1]])[:len(text)]
+        before[ends - sizes] = 0  # what stands before a string's first byte is an end
+        self.transform = before[order].astype(np.int16)
+        self.owner, self.offset = owner[order], (np.arange(len(text)) - (ends - sizes)[owner])[order]
 
+    def previous(self) -> np.ndarray:
+        """From the transform alone: the rank of the suffix that is one symbol longer than the one of a rank."""
+        out = np.empty(len(self.transform), np.int64)
+        out[np.argsort(self.transform, kind="stable")] = np.arange(len(out))
+        return out
 
-def merged_blocks(a: Shard, b: Shard, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def merged_blocks(a: Shard, b: Shard, blocks: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Merge two transforms by interleave refinement for ``depth`` symbols.
 
-    Returns, in merged suffix order, which shard each suffix is from, the block of suffixes that share ``depth``
-    symbols, and the length of the common prefix with the suffix before (``depth`` where it is that long or longer).
-    Suffixes that end earlier are blocks of their own.
+    ``blocks`` is the block each suffix starts in, first of ``a`` and then of ``b``; -1 leaves a suffix out. Each step
+    reads one symbol of the transforms and splits the blocks by it, keeping the order inside. A block of one suffix is
+    final: whatever precedes it is alone as well, so only blocks of several go on. Returns the suffixes (ranks in ``a``,
+    then in ``b``) that are in blocks of several after the last step, their blocks, and for each suffix of the start the
+    common prefix with another one of its block.
     """
-    side = np.concatenate([np.zeros(len(a.transform), np.uint8), np.ones(len(b.transform), np.uint8)])
-    block = np.zeros(len(side), np.int64)
-    prefix = np.full(len(side), depth, np.int64)
-    for step in range(depth):
-        symbol = np.empty(len(side), np.uint16)
-        symbol[side == 0], symbol[side == 1] = a.transform, b.transform
-        order = np.argsort(symbol, kind="stable")
-        side, symbol, block = side[order], symbol[order], block[order]
-        new = np.ones(len(side), bool)
-        new[1:] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1]) | (symbol[1:] == 0)
-        prefix[new & (prefix == depth)] = step
-        block = np.cumsum(new) - 1
-    return side, block, prefix
+    symbols = np.concatenate([a.transform, b.transform]).astype(np.int64)
+    previous = np.concatenate([a.previous(), b.previous() + len(a.transform)])
+    active = np.flatnonzero(blocks >= 0)
+    block, prefix, begun = blocks[active], np.zeros(len(blocks), np.int64), active
+    for step in range(depth + 1):
+        size = np.bincount(block) if len(block) else np.zeros(0, np.int64)
+        alive = size[block] > 1
+        active, block, begun = active[alive], block[alive], begun[alive]
+        prefix[begun] = step
+        if step == depth or not len(active):
+            break
+        symbol = symbols[active]
+        inside = symbol > 0
+        active, block, begun, symbol = active[inside], block[inside], begun[inside], symbol[inside]
+        key = block * 257 + symbol
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        block = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])) if len(key) else key
+        active, begun = previous[active[order]], begun[order]
+    return active, block, prefix
 
 
 def repeated_starts(shards: tuple[list, list]) -> list[list[int]]:
     """For the strings (core, left, starts, bytes) of two shards in turn: starts of DEPTH bytes that another string has.
 
-    ``left`` is the length of the part before the core, ``starts`` the number of starts to look at. Equal bytes count
-    between strings of one core, at the same distance from it.
+    ``left`` is the length of the part before the core. Equal bytes count between strings of one core at the same
+    distance from it, so suffixes start in blocks by core and distance.
     """
     a, b = (Shard([s[3] for s in shard]) for shard in shards)
-    side, block, _ = merged_blocks(a, b, DEPTH)
     strings = [*shards[0], *shards[1]]
-    owner, offset = np.empty(len(side), np.int64), np.empty(len(side), np.int64)
-    for which, shard, shift in ((0, a, 0), (1, b, len(shards[0]))):
-        owner[side == which], offset[side == which] = shard.owner + shift, shard.offset
+    owner = np.concatenate([a.owner, b.owner + len(shards[0])])
+    offset = np.concatenate([a.offset, b.offset])
     core = np.unique([s[0] for s in strings], return_inverse=True)[1]
     left, starts = (np.array([s[i] for s in strings], np.int64) for i in (1, 2))
-    size = np.bincount(block)
-    at = np.flatnonzero((size[block] > 1) & (offset < starts[owner]))
-    keys = np.stack([block[at], core[owner[at]], left[owner[at]] - offset[at]])
-    _, group, count = np.unique(keys, axis=1, return_inverse=True, return_counts=True) if len(at) else (None, at, at)
+    distance = left[owner] - offset + LENGTH
+    wanted = (offset >= DEPTH) & (offset < DEPTH + starts[owner])
+    blocks = np.where(wanted, core[owner] * (4 * LENGTH) + distance, -1)
+    used = np.flatnonzero(wanted)
+    blocks[used] = np.unique(blocks[used], return_inverse=True)[1]
     out: list[list[int]] = [[] for _ in strings]
-    for i in at[count[group.ravel()] > 1] if len(at) else ():
+    for i in merged_blocks(a, b, blocks, DEPTH)[0].tolist():
         out[owner[i]].append(int(offset[i]))
     return out
 
