@@ -135,7 +135,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their failing lines removed and ``n_chars`` brought up to date."""
-    kept = judged(docs).where("__q_kept").withColumn("text", F.array_join("__q_good", "\n"))
+    # a plain filter would be pushed below the measures and evaluate their whole chain once more; this one stays above
+    stays = F.when(F.rand() >= 0, F.col("__q_kept"))
+    kept = judged(docs).where(stays).withColumn("text", F.array_join("__q_good", "\n"))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)
