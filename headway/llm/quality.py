@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm.common import stored
+
 SPACE = r"[\x20\x09-\x0D]"
 WORD_LINE = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -122,22 +124,28 @@ def covered_words(starts: Column) -> Column:
     return F.aggregate(steps, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
+def _measures() -> list[Column]:
+    long = lambda c: F.col(c).cast("bigint")
+    return [
+        long("__q_n").alias("n_words"), long("__q_chars").alias("word_chars"), long("__q_symbols").alias("n_symbols"),
+        long("__q_dup_lines").alias("n_dup_lines"), long("__q_repeat_words").alias("n_repeat_words"),
+        F.col("__q_failed").alias("base_failed"), F.col("__q_kept").alias("kept"), F.size("__q_lines").cast("bigint").alias("n_lines"),
+        F.size("__q_good").cast("bigint").alias("n_good_lines"), long("__q_left").alias("left_chars")]
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """One row per document with the measures, the base verdict and the verdict of the line rules."""
-    long = lambda c: F.col(c).cast("bigint")
-    return judged(docs.select("doc_id", "text")).select(
-        "doc_id", long("__q_n").alias("n_words"), long("__q_chars").alias("word_chars"),
-        long("__q_symbols").alias("n_symbols"), long("__q_dup_lines").alias("n_dup_lines"),
-        long("__q_repeat_words").alias("n_repeat_words"), F.col("__q_failed").alias("base_failed"),
-        F.col("__q_kept").alias("kept"), F.size("__q_lines").cast("bigint").alias("n_lines"),
-        F.size("__q_good").cast("bigint").alias("n_good_lines"), long("__q_left").alias("left_chars"))
+    return judged(docs.select("doc_id", "text")).select("doc_id", *_measures())
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their failing lines removed and ``n_chars`` brought up to date."""
-    # a plain filter would be pushed below the measures and evaluate their whole chain once more; this one stays above
-    stays = F.when(F.rand() >= 0, F.col("__q_kept"))
-    kept = judged(docs).where(stays).withColumn("text", F.array_join("__q_good", "\n"))
+    """The documents that pass, with their failing lines removed and ``n_chars`` brought up to date.
+
+    The verdicts are written before they filter: a filter or a narrow selection on top of the measures would make the
+    optimizer put their expressions into each other and evaluate them once for every use.
+    """
+    own = F.struct(*(F.array_join("__q_good", "\n").alias("text") if c == "text" else F.col(c) for c in docs.columns))
+    kept = stored(judged(docs).select(own.alias("row"), F.struct(*_measures()).alias("quality")), "quality").where("quality.kept").select("row.*")
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+    return kept
