@@ -138,23 +138,6 @@ def _(t):
     return round_trip(t, topics.weather_messages(as_observations(t.weather)), C.WEATHER_OBSERVATION)
 
 
-@query("consume_topics", """
-SELECT topic, key, COUNT(*) AS messages FROM (
-  SELECT 'transit.vehicle.positions' AS topic, vehicle_id AS key FROM vehicle_positions
-  UNION ALL SELECT 'transit.weather.observations', agency_id FROM weather) GROUP BY ALL""")
-def _(t):
-    """Two topics read as a stream of stored messages, in batches, and counted."""
-    path, out, checkpoint = t.scratch("topic"), t.scratch("consumed"), t.scratch("checkpoint")
-    sent = topics.vehicle_messages(as_positions(t.positions)).unionByName(
-        topics.weather_messages(as_observations(t.weather)))
-    stored = landed(sent, path)
-    stream = t.spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    topics.envelope(stream).writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(
-        availableNow=True).start(out).awaitTermination()
-    return t.spark.read.schema(C.MESSAGE_ENVELOPE).parquet(out).groupBy("topic", "key").agg(
-        F.count("*").alias("messages"))
-
-
 # --- weather responses -----------------------------------------------------------
 
 @query("weather_current", f"""

@@ -49,8 +49,15 @@ def first_per_event(positions: DataFrame, seen: DataFrame) -> DataFrame:
     return positions.dropDuplicates(key).join(seen.select(*key).distinct(), key, "left_anti")
 
 
-def upsert(current: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Current rows with the changed ones put in their place; ``changes`` has one row per key."""
+def upsert(current: DataFrame, changes: DataFrame, keys: list[str], *, order_by: str | None = None) -> DataFrame:
+    """Current rows with the changed ones put in their place, one row per key.
+
+    Of several changes for a key the one with the largest ``order_by`` counts; without an order the largest row does,
+    so the result does not depend on partitions.
+    """
+    last = F.struct(*([order_by] if order_by else []), *[c for c in current.columns if c not in keys])
+    rest = F.struct(*[c for c in current.columns if c not in keys])
+    changes = changes.groupBy(*keys).agg(F.max_by(rest, last).alias("__last")).select(*keys, "__last.*")
     kept = current.join(changes.select(*keys), keys, "left_anti")
     return kept.select(*current.columns).unionByName(changes.select(*current.columns))
 

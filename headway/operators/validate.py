@@ -218,9 +218,18 @@ def check_agency_bounds(positions: DataFrame, agencies: DataFrame) -> DataFrame:
     return joined.drop("min_latitude", "max_latitude", "min_longitude", "max_longitude")
 
 
+# Java's number suffixes (5d, 1f) convert in Spark and are no numbers here
+_NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf(inity)?)$"
+_WHOLE = r"^[+-]?\d+(\.0*)?$"
+
+
+def _lax_double(text: Column) -> Column:
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
 def _lax_int(text: Column) -> Column:
-    """Whole number from text; a fraction such as 5.5 is refused, 5.0 is not."""
-    number = text.try_cast("double")
+    """Whole number from text; a fraction such as 5.5 is refused, 5.0 is not, nor is an exponent taken."""
+    number = F.when(text.rlike(_WHOLE), text.try_cast("double"))
     return F.when(number == F.floor(number), number.try_cast("int"))
 
 
@@ -233,6 +242,7 @@ def coerce_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """
     converted = {
         name: _lax_int(F.trim(F.col(name))) if kind == "int"
+        else _lax_double(F.trim(F.col(name))) if kind == "double"
         else F.trim(F.col(name)).try_cast(kind)
         for name, kind in types.items()
     }

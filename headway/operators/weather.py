@@ -44,7 +44,7 @@ def latest_before(rows: DataFrame, observations: DataFrame, *, keys: list[str],
 
     group = [*keys, "_slot"]
     slotted = rows.withColumn("_slot", slot_of(F.col(row_time)))
-    crowded = F.broadcast(crowded_groups(slotted.where(all_present(keys)).select(*group), group, rows_per_task))
+    crowded = crowded_groups(slotted.where(all_present(keys)).select(*group), group, rows_per_task)
     salts = F.coalesce("_salts", F.lit(1))
 
     per_instant = (

@@ -13,7 +13,7 @@ def scan_gtfs_csv(spark: SparkSession, path: str, schema: str | None = None) ->
 
     The schema lists the columns of the file in their order.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("escape", '"')
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
@@ -26,7 +26,7 @@ def _load(spark: SparkSession, path: str, columns: dict[str, tuple]) -> DataFram
     an empty optional field is the empty text, and a value that is no number
     fails the job when it is read.
     """
-    raw = spark.read.option("header", True).csv(path)
+    raw = spark.read.option("header", True).option("escape", '"').csv(path)
     missing = [n for n, (_, required, _) in columns.items() if required and n not in raw.columns]
     if missing:
         raise ValueError(f"{path} lacks the columns {', '.join(missing)}")

@@ -12,7 +12,6 @@ from headway.functions.times import iso_utc
 PRODUCER_OPTIONS = {"kafka.acks": "all", "kafka.compression.type": "snappy", "kafka.retries": "3",
                     "kafka.max.in.flight.requests.per.connection": "5"}
 CONSUMER_GROUP = "headway-consumer"
-MAX_RECORDS = 500
 
 
 def to_messages(df: DataFrame, *, key: str, topic: str) -> DataFrame:
@@ -62,14 +61,15 @@ def publish_stream(messages: DataFrame, *, servers: str, checkpoint: str, file_f
 
 
 def consumer_options(topics: list[str], *, servers: str, starting: str = "latest",
-                     max_records: int = MAX_RECORDS, group: str = CONSUMER_GROUP) -> dict[str, str]:
-    return {
+                     max_records: int | None = None, group: str = CONSUMER_GROUP) -> dict[str, str]:
+    """Options of the connector; ``max_records`` bounds a micro-batch only where a caller asks for it."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
         "startingOffsets": starting,
-        "maxOffsetsPerTrigger": str(max_records),
         "groupIdPrefix": group,
     }
+    return options if max_records is None else options | {"maxOffsetsPerTrigger": str(max_records)}
 
 
 def consume_topics(spark: SparkSession, topics: list[str], **options) -> DataFrame:

@@ -9,8 +9,6 @@ from headway.contracts import CURRENT_WEATHER, HOURLY_FORECAST
 from headway.functions.codes import weather_condition
 from headway.functions.times import moment
 
-MAX_FORECAST_HOURS = 168
-
 
 def parse_response(df: DataFrame, column: str = "response") -> DataFrame:
     """Parse response texts; adds ``current_weather`` and ``hourly`` structs."""

@@ -141,7 +141,7 @@ def test_consumer_options():
     options = topics.consumer_options(["a", "b"], servers="host:9092")
     assert options["subscribe"] == "a,b"
     assert options["startingOffsets"] == "latest"
-    assert options["maxOffsetsPerTrigger"] == "500"
+    assert "maxOffsetsPerTrigger" not in options
 
 
 def test_not_in_rules(spark):
@@ -159,6 +159,21 @@ def test_not_in_rules(spark):
     assert [r.vehicle_id for r in first_per_event(rows.where("vehicle_id IS NOT NULL"), seen).collect()] == ["a"]
 
 
+def test_upsert_keeps_one_change_per_key(spark):
+    old = spark.createDataFrame([(1, "a", 0)], "k int, v string, at int")
+    new = spark.createDataFrame([(1, "b", 2), (1, "z", 1), (2, "c", 1), (2, "c", 1)], "k int, v string, at int")
+    assert {tuple(r) for r in upsert(old, new, ["k"], order_by="at").collect()} == {(1, "b", 2), (2, "c", 1)}
+    assert upsert(old, new, ["k"], order_by="at").count() == 2
+
+
+def test_quoted_schedule_fields(spark, tmp_path):
+    from headway.sources.schedule import load_stops
+
+    (tmp_path / "stops.txt").write_text('stop_id,stop_name,stop_lat,stop_lon\n1,"The ""Old"" Mill, east",45.5,-122.6\n')
+    row = load_stops(spark, str(tmp_path)).first()
+    assert (row["stop_name"], row["stop_lat"], row["stop_lon"]) == ('The "Old" Mill, east', 45.5, -122.6)
+
+
 def test_upsert(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k INT, v STRING")
     new = spark.createDataFrame([("c", 2), ("d", 3)], "v STRING, k INT")
