@@ -128,11 +128,11 @@ def test_pages(spark):
     page = "<html><head><title>t</title></head><body><header>H</header><div class='cookie-notice'>C</div>{}<footer>F</footer></body></html>"
     rows = [
         (1, "http://h.org/a/1", page.format("<article><h1>A &amp; b</h1><p>one <b>t</b>wo<p>three<br>four<ul class=share><li>x</ul></article>")),
-        (2, "http://h.org/a/2", page.format("<p>Shared notice</p><p>own text of two</p>")),
-        (3, "http://h.org/a/3", page.format("<p>Shared notice</p><p>own text of three</p>")),
-        (4, None, page.format("<p>alone</p>")), (5, "http://h.org/a/3", None), (None, "x", ""), (7, "http://z.org/", "<p>copy</p>"), (7, "http://z.org/", "<p>copy</p>"),
+        (2, "http://h.org/a/21", page.format("<p>Shared notice</p><p>own text of two</p>")),
+        (3, "http://h.org/a/22", page.format("<p>Shared notice</p><p>own text of three</p>")),
+        (4, None, page.format("<p>alone</p>")), (5, "http://h.org/b/9", None), (None, "x", ""), (7, "http://z.org/", "<p>copy</p>"), (7, "http://z.org/", "<p>copy</p>"),
     ]
-    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumnRenamed("extra", "key")
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS key", "2 AS text")
     got = sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in page_text.html_extract(frame).collect())
     texts = [(0, ""), (1, "A & b one two three four"), (2, "own text of two"), (3, "own text of three"), (4, "alone"), (5, ""), (7, "copy"), (7, "copy")]
     assert got == [(i, t, len(t)) for i, t in texts]
@@ -212,7 +212,7 @@ def test_decontamination_finds_every_item_that_scores(spark, real):
 
 def test_lm_scores(spark, docs):
     rows = [(i, ("red green blue " if i % 2 else "one two three ") * 30) for i in range(20)]
-    table = spark.createDataFrame(rows, "doc_id long, text string").unionByName(docs.select("doc_id", "text").where("doc_id IS NULL OR doc_id < 4").selectExpr("doc_id + 100", "text"))
+    table = spark.createDataFrame(rows, "doc_id long, text string").unionByName(docs.select("doc_id", "text").where("doc_id IS NULL OR doc_id < 4").selectExpr("doc_id + 100 AS doc_id", "text"))
     target = spark.createDataFrame([(i,) for i in (1, 3, 5, 7, None)], "doc_id long")
     out = {r["doc_id"]: r for r in lmscore.cross_entropy_difference(table, target).collect()}
     assert out[9]["score"] < 0 < out[8]["score"] and out[9]["n_tokens"] == 90
