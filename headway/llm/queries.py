@@ -81,4 +81,68 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_lm_scoring, op2_minhash_dedup, op3_secret_scan, op4_language_id, op5_suffix_dedup, op6_html_extract, op7_byte_bpe,
     op8_toxicity, op9_decontaminate, op10_quality_rules)}
-ORACLES: dict[str, str] = {}
+
+#: White space of the contracts as a DuckDB pattern.
+_SPACE = r"[\x20\x09-\x0D]+"
+_WORDS = "list_filter(string_split_regex({0}, '" + _SPACE + "'), lambda x: x <> '')"
+
+OP2_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+  FROM documents),
+shingles AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {GROUP_WIDTH} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, COUNT(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c.n >= {GROUP_PERCENT} * (x.n + y.n - c.n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON l.a = r.other),
+components AS (SELECT doc_id, MIN(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, COALESCE(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM components LEFT JOIN sizes USING (doc_id)"""
+
+
+def _op10_sql() -> str:
+    from headway.llm import quality as q
+
+    literal = lambda x: "'" + x.replace("'", "''") + "'"
+    boilerplate = " OR ".join(f"contains(lower(x), {literal(p)})" for p in q.BOILERPLATE)
+    symbols = lambda x: f"(length({x}) - length(regexp_replace({x}, '[{q.SYMBOLS}]', '', 'g')))"
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+parts AS (
+  SELECT doc_id, t, {_WORDS.format("t")} AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, {literal(q.WORD_LINE)})) AS lines FROM texts),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS i,
+    unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s
+  FROM parts WHERE len(w) >= 3),
+repeated AS (SELECT doc_id, i FROM windows QUALIFY COUNT(*) OVER (PARTITION BY doc_id, s) > 1),
+covered AS (
+  SELECT doc_id, COUNT(DISTINCT place) AS n FROM (SELECT doc_id, i + unnest([0, 1, 2]) AS place FROM repeated) GROUP BY doc_id),
+measured AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, {symbols("t")} AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines,
+    length(array_to_string(lines, '')) AS all_chars,
+    list_filter(lines, lambda x: regexp_matches(right(x, {q.LAST}), {literal(q.ENDS)})
+      AND NOT {symbols("x")} * 100 > length(x) * {q.MAX_SYMBOL_PERCENT}
+      AND NOT length(x) - length(regexp_replace(x, '[{q.SEPARATORS}]', '', 'g')) >= {q.MENU_SEPARATORS}
+      AND NOT (contains(x, '!!') AND x = upper(x)) AND NOT ({boilerplate})) AS good
+  FROM parts LEFT JOIN covered USING (doc_id)),
+judged AS (
+  SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+    length(array_to_string(good, '')) AS left_chars FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND left_chars * 100 >= all_chars * {q.MIN_LEFT_PERCENT} AS kept, n_lines, len(good) AS n_good_lines, left_chars
+FROM judged"""
+
+
+ORACLES: dict[str, str] = {"op2_minhash_dedup": OP2_SQL, "op10_quality_rules": _op10_sql()}
