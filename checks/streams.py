@@ -8,7 +8,7 @@ from checks import query
 from checks.functions import POSITION_COLUMNS
 from checks.joins import GOLD_SQL, asof_sql, rounded_gold
 from checks.sources import as_observations, as_positions, layers
-from checks.validation import VEHICLE_RULES_FEED_SQL, VEHICLE_RULES_SQL, bad_sql, names_sql
+from checks.validation import VEHICLE_RULES_FEED_SQL, VEHICLE_RULES_SQL, WEATHER_RULES_SQL, bad_sql, names_sql
 from checks.views import AS_OF, POSITIONS
 from headway import contracts as C
 from headway.sources.feed import stream_feed
@@ -126,12 +126,16 @@ def _(t):
     return rounded_gold(to_files(t, events.hourly_metrics(position_stream(t))))
 
 
+# an old observation is no bad one here: the join looks at its age
+FIT_WEATHER_SQL = f"(SELECT * FROM weather WHERE NOT {bad_sql([r for r in WEATHER_RULES_SQL if r[0] != 'observation_stale'])})"
+
+
 @query("stream_weather", f"""
-WITH {asof_sql('vehicle_positions', ['agency_id'], 'weather')}
+WITH {asof_sql('vehicle_positions', ['agency_id'], FIT_WEATHER_SQL)}
 SELECT vehicle_id, timestamp, observation_time, weather_condition,
   COALESCE(weather_condition IN ('HEAVY_RAIN', 'SNOW', 'THUNDERSTORM'), FALSE) AS is_severe FROM correlated""")
 def _(t):
-    """One stream fills the weather table, a second joins positions to it."""
+    """One stream fills the weather tables, a second joins positions to the observations that passed."""
     tables = layers(t)
     path = stored(t, [as_observations(t.weather)], "weather")
     observations = t.spark.readStream.schema(C.WEATHER_OBSERVATION).parquet(path)

@@ -64,8 +64,8 @@ def latest_before(rows: DataFrame, observations: DataFrame, *, keys: list[str],
         slotted.select(*group, F.col(row_time).alias("_at"), F.struct(*rows.columns).alias("_row"))
         .join(crowded, group, "left"),
         ["_at"],
-        # rows without a key match nothing, so any salt is right for them
-        F.when(all_present(keys), salts).otherwise(_SALTS_WITHOUT_KEY),
+        # rows without a key or a time match nothing, so any salt is right for them
+        F.when(all_present(group), salts).otherwise(_SALTS_WITHOUT_KEY),
     ).drop("_salts")
     both = tagged.unionByName(
         sources.select(*group, "_at", "_salt",

@@ -18,13 +18,18 @@ TABLES = {
         f"ingestion_timestamp TIMESTAMP, {C.WEATHER_OBSERVATION}", "observation_time", True),
     "bronze.quality_alerts": (C.QUALITY_ALERT, "detected_at", True),
     "silver.vehicle_positions": (f"ingestion_timestamp TIMESTAMP, {C.VEHICLE_POSITION}", "timestamp", True),
+    "silver.trip_updates": (f"ingestion_timestamp TIMESTAMP, {C.TRIP_UPDATE}", "timestamp", True),
+    "silver.weather_observations": (
+        f"ingestion_timestamp TIMESTAMP, {C.WEATHER_OBSERVATION}", "observation_time", True),
     "silver.seen_vehicles": ("vehicle_id STRING", None, True),
     "gold.hourly_vehicle_metrics": (C.HOURLY_METRICS, "hour_timestamp", False),
     "gold.route_performance": (C.ROUTE_PERFORMANCE, "date", False),
     "gold.feed_progress": (
-        "processed_rows BIGINT, valid_rows BIGINT, invalid_rows BIGINT, silver_rows BIGINT", None, True),
+        "processed_rows BIGINT, valid_rows BIGINT, invalid_rows BIGINT, silver_rows BIGINT, as_of TIMESTAMP", None, True),
 }
 
+# what Spark names the partition of rows without a date
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 # batches between two full copies of the promoted ids
 SEEN_FOLD = 100
 
@@ -37,8 +42,9 @@ def replace_table(df: DataFrame, name: str) -> None:
 class Layers:
     """Bronze, silver and gold tables below one root folder.
 
-    Every append is the content of a batch: it overwrites that batch's own
-    partitions, so a repeated batch leaves the tables as one run would.
+    Every append is the content of a batch: it takes the place of all that the
+    batch wrote before, under any date, so a repeated batch leaves the tables as
+    one run would.
     Time-keyed tables are also partitioned by date, which prunes the scans of
     the silver and gold steps.
     """
@@ -78,8 +84,10 @@ class Layers:
         return self
 
     def write_batch(self, table: str, df: DataFrame, batch_id: int | None = None) -> None:
-        """Put rows in place of the partitions they belong to."""
+        """Put rows in place of all that the batch has in the table, or else of the dates they belong to."""
         columns, time_column, batched = TABLES[table]
+        if batched:
+            self._clear_batch(table, batch_id)
         rows = df.select(
             *C.column_names(columns),
             *([F.to_date(time_column).alias("event_date")] if time_column else []),
@@ -92,6 +100,16 @@ class Layers:
         # a stream writes through a session of its own, whose refresh this one does not see
         self.spark.catalog.refreshTable(self.name(table))
 
+    def _clear_batch(self, table: str, batch_id: int) -> None:
+        """Empty the partitions of an earlier try of a batch; a new batch has none."""
+        name = self.name(table)
+        for row in self.spark.sql(f"SHOW PARTITIONS {name} PARTITION (batch_id = {batch_id})").collect():
+            date = row[0].split("/")[0].partition("=")[2]
+            value = "NULL" if date == NO_DATE else f"DATE '{date}'"
+            day = f"event_date = {value}, " if TABLES[table][1] else ""
+            nulls = ", ".join(["NULL"] * len(C.column_names(TABLES[table][0])))
+            self.spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({day}batch_id = {batch_id}) SELECT {nulls} WHERE false")
+
     # --- bronze -------------------------------------------------------------------
 
     def store_bronze(self, table: str, df: DataFrame, batch_id: int, *, ingested_at=None) -> None:
@@ -159,7 +177,8 @@ class Layers:
         self.write_batch("gold.hourly_vehicle_metrics", gold_hourly(silver))
 
     def refresh_route_performance(self, since_batch: int | None = None) -> None:
-        updates = self.with_partitions("bronze.trip_updates")
+        """Rebuild the delays of the dates that batches since ``since_batch`` touched, from updates that passed."""
+        updates = self.with_partitions("silver.trip_updates")
         if since_batch is not None:
             touched = updates.where(F.col("batch_id") >= since_batch).select("event_date").distinct()
             updates = updates.join(touched, "event_date", "left_semi")

@@ -11,32 +11,37 @@ from headway.functions.times import moment
 
 
 def parse_response(df: DataFrame, column: str = "response") -> DataFrame:
-    """Parse response texts; adds ``current_weather`` and ``hourly`` structs."""
-    schema = f"current_weather {CURRENT_WEATHER}, hourly {HOURLY_FORECAST}"
-    parsed = F.from_json(column, schema)
+    """Parse response texts; adds ``current_weather`` and ``hourly`` structs, and ``current_fields``.
+
+    The fields are the current-weather object as a map of texts, which tells an absent reading from a null one.
+    """
+    parsed = F.from_json(column, f"current_weather {CURRENT_WEATHER}, hourly {HOURLY_FORECAST}")
+    fields = F.from_json(column, "current_weather MAP<STRING, STRING>")
     return df.withColumns({
         "current_weather": parsed["current_weather"], "hourly": parsed["hourly"],
+        "current_fields": fields["current_weather"],
     })
 
 
 def weather_current(responses: DataFrame, *, observed_at=None) -> DataFrame:
     """One observation per response with a current-weather object.
 
-    ``responses`` has ``latitude, longitude, agency_id, current_weather``.
+    ``responses`` has ``latitude, longitude, agency_id, current_weather, current_fields``.
     Absent readings count as 0; ``is_defaulted`` tells which rows had any. A
-    response whose object is absent or empty gives no row.
+    response whose object is absent or empty gives no row, and neither does one
+    with a reading that is there but null or no number.
     """
-    current = F.col("current_weather")
-    readings = [current[n] for n in ("temperature_2m", "precipitation", "windspeed_10m", "weathercode")]
-    any_absent, all_absent = readings[0].isNull(), readings[0].isNull()
-    for reading in readings[1:]:
-        any_absent, all_absent = any_absent | reading.isNull(), all_absent & reading.isNull()
+    current, fields = F.col("current_weather"), F.col("current_fields")
+    any_absent, any_unfit = F.lit(False), F.lit(False)
+    for name in ("temperature_2m", "precipitation", "windspeed_10m", "weathercode"):
+        present = F.map_contains_key(fields, name)
+        any_absent, any_unfit = any_absent | ~present, any_unfit | (present & current[name].isNull())
     code = F.coalesce(current["weathercode"], F.lit(0))
 
     def number(name: str) -> Column:
         return F.coalesce(current[name], F.lit(0.0))
 
-    return responses.where(current.isNotNull() & ~all_absent).select(
+    return responses.where((F.size(fields) > 0) & ~any_unfit).select(
         "latitude", "longitude",
         number("temperature_2m").alias("temperature_celsius"),
         number("precipitation").alias("precipitation_mm"),

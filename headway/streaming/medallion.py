@@ -1,19 +1,21 @@
 """The continuous run: landed messages to bronze, alerts, silver and gold, batch by batch.
 
 A batch that fails stops the query; on restart the checkpoint replays it, and
-every table write replaces that batch's own partitions, so nothing is doubled.
-For replays to decide freshness alike, measure age with ``as_of="feed"``.
+every table write replaces all that the batch wrote before, so nothing is
+doubled. The time that a batch measures age against is stored with its counters
+and used again when the batch is replayed.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.functions.times import moment
 from headway.operators.flatten import flatten_trip_updates, flatten_vehicles
-from headway.operators.validate import alerts, any_broken, keep_valid, vehicle_rules
+from headway.operators.validate import alerts, any_broken, keep_valid, trip_update_rules, vehicle_rules, weather_rules
 from headway.operators.weather import weather_correlate
 from headway.sources.tables import Layers
 
@@ -49,22 +51,38 @@ class MedallionWriter:
     def settle(self, batch_id: int) -> None:
         """Alerts, silver, counters and, every n-th batch, gold, all from the stored bronze batch."""
         layers = self.layers
-        as_of = self.as_of or datetime.now(timezone.utc)
-        rules = vehicle_rules(as_of)
+        as_of = batch_time(layers, batch_id, self.as_of)
+        rules, update_rules = vehicle_rules(as_of), trip_update_rules()
         rows = layers.batch("bronze.vehicle_positions", batch_id)
+        updates = layers.batch("bronze.trip_updates", batch_id)
         layers.write_batch(
             "bronze.quality_alerts",
-            alerts(rows, rules, entity_type="vehicle_position", entity_id="vehicle_id", as_of=as_of),
+            alerts(rows, rules, entity_type="vehicle_position", entity_id="vehicle_id", as_of=as_of).unionByName(
+                alerts(updates, update_rules, entity_type="trip_update", entity_id="trip_id",
+                       as_of=F.col("timestamp") if as_of == "feed" else as_of)),
             batch_id,
         )
         layers.promote(keep_valid(rows, rules), batch_id, as_of=as_of)
-        layers.write_batch("gold.feed_progress", batch_progress(layers, rules, batch_id), batch_id)
+        layers.write_batch("silver.trip_updates", keep_valid(updates, update_rules), batch_id)
+        layers.write_batch("gold.feed_progress", batch_progress(layers, rules, batch_id).withColumn(
+            "as_of", F.lit(None).cast("timestamp") if as_of == "feed" else moment(as_of)), batch_id)
         if (batch_id + 1) % self.gold_every == 0:
             since = batch_id + 1 - self.gold_every
             layers.refresh_hourly(since)
             layers.refresh_route_performance(since)
 
 
+def batch_time(layers: Layers, batch_id: int, as_of=None):
+    """The time a batch measures age against: that of its first run, else ``as_of``, else now."""
+    if as_of == "feed":
+        return as_of
+    known = layers.with_partitions("gold.feed_progress").where(
+        (F.col("batch_id") == batch_id) & F.col("as_of").isNotNull()).select(F.unix_micros("as_of")).first()
+    if known:
+        return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=known[0])
+    return as_of or datetime.now(timezone.utc)
+
+
 def batch_progress(layers: Layers, rules, batch_id: int) -> DataFrame:
     """Counters of one stored batch, as one row."""
     bad = F.coalesce(any_broken(rules), F.lit(True))
@@ -109,9 +127,17 @@ def start_first_seen(positions: DataFrame, layers: Layers, *, checkpoint: str, a
 
 def start_weather(observations: DataFrame, layers: Layers, *, checkpoint: str,
                   interval: str = WEATHER_INTERVAL, available_now: bool = False):
-    """Keep the weather table up to date from a stream of observations."""
+    """Keep the weather tables up to date from a stream of observations.
+
+    Bronze takes all rows, silver those that pass the contract. Age is no reason to refuse one here: the as-of join
+    looks at it, against the time of each row.
+    """
+    rules = weather_rules(F.col("observation_time"))
+
     def store(rows: DataFrame, batch_id: int) -> None:
         layers.store_bronze("bronze.weather_observations", rows, batch_id)
+        kept = keep_valid(layers.batch("bronze.weather_observations", batch_id), rules)
+        layers.write_batch("silver.weather_observations", kept, batch_id)
 
     writer = observations.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _schedule(writer, interval, available_now).start()
@@ -124,14 +150,18 @@ def start_weather_join(positions: DataFrame, layers: Layers, *, checkpoint: str,
     Only the weather of the batch's dates, and the day before, is read.
     """
     def enrich(rows: DataFrame, batch_id: int) -> None:
-        dates = rows.select(F.explode(F.array(
-            F.to_date("timestamp"), F.date_sub(F.to_date("timestamp"), 1))).alias("event_date")).distinct()
-        weather = layers.with_partitions("bronze.weather_observations").join(
-            dates, "event_date", "left_semi"
-        )
-        joined = weather_correlate(rows, weather).withColumn("batch_id", F.lit(batch_id))
-        joined.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "batch_id").parquet(path)
+        rows.persist()  # read for its dates, for its crowded slots and for the join
+        try:
+            dates = rows.select(F.explode(F.array(
+                F.to_date("timestamp"), F.date_sub(F.to_date("timestamp"), 1))).alias("event_date")).distinct()
+            weather = layers.with_partitions("silver.weather_observations").join(
+                dates, "event_date", "left_semi"
+            )
+            joined = weather_correlate(rows, weather).withColumn("batch_id", F.lit(batch_id))
+            joined.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "batch_id").parquet(path)
+        finally:
+            rows.unpersist()
 
     writer = positions.writeStream.foreachBatch(enrich).option("checkpointLocation", checkpoint)
     return _schedule(writer, interval, available_now).start()

@@ -1,5 +1,6 @@
 """Streams give what the batch gives, however the input is cut and however often it is replayed."""
 
+import json
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -79,6 +80,54 @@ def test_first_batch_wins_and_a_replay_changes_nothing(spark, tmp_path):
     assert after == before
 
 
+def position_feed(spark, at, *speeds):
+    entities = [{"id": f"e{k}", "vehicle": {
+        "vehicle": {"id": f"v{k}"}, "trip": {"trip_id": "t", "route_id": "r"}, "timestamp": at, "current_status": 1,
+        "position": {"latitude": 45.5, "longitude": -122.6, "speed": s}, "congestion_level": 2}} for k, s in enumerate(speeds)]
+    rows = spark.createDataFrame([(json.dumps({"header": {"timestamp": at}, "entity": entities}),)], "message STRING")
+    return rows.select(F.from_json("message", C.FEED_MESSAGE).alias("m")).select("m.*")
+
+
+def test_a_replay_keeps_its_time_and_leaves_no_old_row(spark, tmp_path):
+    layers = Layers(spark, f"{tmp_path}/r", prefix="r_").init()
+    feed = position_feed(spark, EPOCH, 10.0, 90.0)
+    tables = ("bronze.vehicle_positions", "bronze.quality_alerts", "silver.vehicle_positions", "gold.feed_progress")
+
+    def state():
+        return {t: sorted(map(str, layers.table(t).drop("ingestion_timestamp").collect())) for t in tables}
+
+    MedallionWriter(layers, agency_id="city", as_of=START + timedelta(minutes=1))(feed, 0)
+    first = state()
+    assert [len(first[t]) for t in tables] == [2, 1, 1, 1]
+    MedallionWriter(layers, agency_id="city", as_of=START + timedelta(days=1))(feed, 0)
+    assert state() == first
+    # the batch comes again with rows of another day, then with none
+    MedallionWriter(layers, agency_id="city")(position_feed(spark, EPOCH + 86_400, 10.0), 0)
+    assert layers.table("bronze.vehicle_positions").count() == 1 and layers.table("bronze.quality_alerts").count() == 0
+    MedallionWriter(layers, agency_id="city")(feed.where("false"), 0)
+    assert [len(state()[t]) for t in tables] == [0, 0, 0, 1] and progress(layers).first().processed_rows == 0
+    assert layers.table("silver.seen_vehicles").count() == 0
+
+
+def test_rows_without_a_date_are_replaced_too(spark, tmp_path):
+    layers = Layers(spark, f"{tmp_path}/n", prefix="n_").init()
+    rows = position_rows(spark, [("v1", "r", 1.0, None), ("v2", "r", 1.0, START)])
+    for _ in range(2):
+        layers.append_positions(rows, 3)
+    assert layers.table("bronze.vehicle_positions").count() == 2
+    layers.append_positions(rows.where("vehicle_id = 'v2'"), 3)
+    assert layers.table("bronze.vehicle_positions").count() == 1
+
+
+def test_delays_off_the_limits_stay_out_of_gold(spark, tmp_path):
+    layers = Layers(spark, f"{tmp_path}/u", prefix="u_").init()
+    row = lambda trip, delay: (trip, "r", "v", 1, "s", delay, None, None, None, "SCHEDULED", "city", START)
+    layers.append_trip_updates(spark.createDataFrame([row("t1", 60), row("t2", 999_999)], C.TRIP_UPDATE), 0)
+    MedallionWriter(layers, agency_id="city", as_of="feed", gold_every=1).settle(0)
+    assert [r.avg_delay_seconds for r in layers.table("gold.route_performance").collect()] == [60.0]
+    assert [(r.entity_type, r.entity_id) for r in layers.table("bronze.quality_alerts").collect()] == [("trip_update", "t2")]
+
+
 def test_failed_batch_is_taken_up_again(spark, tmp_path):
     path = f"{tmp_path}/feed"
     messages(spark, 6).coalesce(1).write.json(path)

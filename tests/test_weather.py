@@ -96,6 +96,25 @@ def test_current(spark):
     assert {r.observation_time for r in found} == {START}
 
 
+def test_only_an_absent_reading_counts_as_zero(spark):
+    found = weather_current(responses(
+        spark, {"current_weather": {"time": "x", "is_day": 1}}, {"current_weather": {"temperature_2m": None}},
+        {"current_weather": {"temperature_2m": "warm"}}, {"current_weather": {"weathercode": 0}},
+        {"current_weather": None}), observed_at=START).collect()
+    assert [(r.temperature_celsius, r.weather_code, r.is_defaulted) for r in found] == [(0.0, 0, True)] * 2
+
+
+def test_rows_without_a_time_spread(spark):
+    rows = spark.range(4000).selectExpr("'a' AS agency_id", "CAST(NULL AS TIMESTAMP) AS timestamp", "id")
+    seen = spark.createDataFrame([("a", START, "RAIN", 61, 3.0, 1.0, 5.0)], OBSERVATION)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = weather_correlate(rows, seen).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in sizes) == 4000 and max(r["count"] for r in sizes) < 2000
+
+
 def test_forecast(spark):
     text = {"hourly": {"time": ["2026-01-31T00:00", "2026-01-31T01:00", "2026-01-31T02:00Z"],
                        "temperature_2m": [1.0, 2.0], "weathercode": [3]}}
