@@ -5,47 +5,37 @@ one counted on the target documents and one on all others. A document's score is
 the mean over its tokens of target loss minus background loss; the lower, the
 more it looks like the target.
 
-All documents are counted. The vocabulary holds the words that make up at least
-one in 2^18 of all tokens, and bigrams are kept from one in 2^19 on: at most
-262,144 words and 524,288 bigrams at any corpus size, which is what bounds the
-model that executors receive. Rarer words are one unknown word, rarer bigrams
-fall back to the unigram part, alike in both models.
+All documents, all words and all bigrams are counted; there is no least count and
+no most. The counts are Spark tables that grow with the input, and the losses,
+which hang on the bigram alone, reach the documents by a join: each task groups
+the bigrams of a run of documents first, so that a frequent bigram is one row of a
+run with its documents, and the most frequent ones are salted.
 
 Defined results: null and empty texts have no tokens and score 0; without target
 documents the target model is uniform; rows without an id count as background;
-repeated rows count each time; other columns are not read.
+repeated rows count each time; other columns are not read. Words stand as hashes
+of 64 bits.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import add_columns, ascii_words, flat_map, stored
+from headway.llm.common import WordHashes, ascii_words, ready_workers, stored
+from headway.llm.quality import words as split_words
 
-WORD_SHARE, PAIR_SHARE = 2.0**-18, 2.0**-19
 #: Weight of the bigram part.
 BIGRAM = 0.6
 #: Target ids up to this number (8 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
-#: Entries that a task gathers before it hands its counts on.
-FLUSH_WORDS, FLUSH_TOKENS = 400_000, 4_000_000
-_SHIFT = 20
-
-
-class Vocabulary:
-    """Ids from 1 on; 0 is every other word, and also stands before the first word of a text."""
-
-    def __init__(self, words: list[bytes]):
-        self.ids = {w: i for i, w in enumerate(words, 1)}
-
-    def pairs(self, text: str | None) -> np.ndarray:
-        words = ascii_words(text)
-        ids = np.zeros(len(words) + 1, np.int64)
-        get = self.ids.get
-        ids[1:] = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
-        return ids[:-1] << _SHIFT | ids[1:]
+#: Tokens that a task groups before it hands them on, and rows of one batch that it hands on.
+RUN_TOKENS, OUT_ROWS = 1_000_000, 50_000
+#: Occurrences of a bigram from which on it is dealt over several tasks.
+HOT = 2_000_000
+#: What stands before the first word of a text.
+START = 0
 
 
 def _flagged(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
@@ -53,119 +43,92 @@ def _flagged(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     return docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("__target"), "left").select(
-        "text", F.col("__target").isNotNull().alias("target"))
-
-
-def _word_counts():
-    def make():
-        sums = {}, {}
-
-        def emit():
-            words = list(sums[0].keys() | sums[1].keys())
-            yield {"word": words, "background": [sums[0].get(w, 0) for w in words], "target": [sums[1].get(w, 0) for w in words]}
-            sums[0].clear()
-            sums[1].clear()
-
-        def work(batch):
-            from collections import Counter
-
-            for text, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = sums[target]
-                for w, n in Counter(ascii_words(text)).items():
-                    own[w] = own.get(w, 0) + n
-            return emit() if len(sums[0]) + len(sums[1]) > FLUSH_WORDS else ()
-
-        work.finish = emit
-        return work
-    return make
-
-
-def _pair_counts(sent):
-    def make():
-        vocabulary, held, size = sent.value, ([], []), [0]
-
-        def emit():
-            keys = [np.unique(np.concatenate(h) if h else np.zeros(0, np.int64), return_counts=True) for h in held]
-            pairs = np.union1d(keys[0][0], keys[1][0])
-            out = {"pair": pairs}
-            for name, (key, n) in zip(("background", "target"), keys, strict=True):
-                out[name] = np.zeros(len(pairs), np.int64)
-                out[name][np.searchsorted(pairs, key)] = n
-            yield out
-            held[0].clear()
-            held[1].clear()
-            size[0] = 0
-
-        def work(batch):
-            for text, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                pairs = vocabulary.pairs(text)
-                held[target].append(pairs)
-                size[0] += len(pairs)
-            return emit() if size[0] > FLUSH_TOKENS else ()
-
-        work.finish = emit
-        return work
-    return make
-
-
-class Models:
-    """Losses of both models as sorted pair keys with values, and per-word unigram parts."""
-
-    def __init__(self, n_words: int, words: np.ndarray, pairs: np.ndarray, counts: np.ndarray):
-        # words: (2, n_words + 1) counts of background and target, unknown words first
-        totals = words.sum(axis=1, keepdims=True)
-        self.unigram = ((words + 1) / (totals + n_words + 1)).astype(np.float64)
-        self.pairs, self.bigram = pairs, np.zeros((2, len(pairs) + 1))
-        context = pairs >> _SHIFT
-        self.bigram[:, :-1] = BIGRAM * counts / np.maximum(words[:, context], counts.clip(1))
-
-    def losses(self, keys: np.ndarray) -> np.ndarray:
-        """(2, tokens) losses in nats."""
-        none = len(self.pairs)  # the last entry, no bigram part
-        at = np.searchsorted(self.pairs, keys)
-        at[np.append(self.pairs, -1)[at] != keys] = none
-        word = keys & ((1 << _SHIFT) - 1)
-        return -np.log(self.bigram[:, at] + (1 - BIGRAM) * self.unigram[:, word])
-
-
-def fit(docs: DataFrame, target_ids: DataFrame) -> tuple[Vocabulary, Models]:
-    spark = docs.sparkSession
-    rows = _flagged(docs, target_ids)
-    words = flat_map(rows, _word_counts(), "word binary, background bigint, target bigint")
-    words = words.groupBy("word").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-    words = stored(words, "lm-words")
-    background, target = words.agg(F.coalesce(F.sum("background"), F.lit(0)), F.coalesce(F.sum("target"), F.lit(0))).first()
-    total = background + target
-    frequent = words.where(F.col("background") + F.col("target") >= F.lit(total * WORD_SHARE)).toPandas().sort_values("word")
-    vocabulary = Vocabulary([bytes(w) for w in frequent["word"]])
-    counts = np.zeros((2, len(frequent) + 1))
-    counts[0, 1:], counts[1, 1:] = frequent["background"], frequent["target"]
-    counts[:, 0] = background - counts[0].sum(), target - counts[1].sum()
-
-    sent = spark.sparkContext.broadcast(vocabulary)
-    pairs = flat_map(rows, _pair_counts(sent), "pair bigint, background bigint, target bigint")
-    pairs = pairs.groupBy("pair").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-    pairs = pairs.where(F.col("background") + F.col("target") >= F.lit(total * PAIR_SHARE)).toPandas().sort_values("pair")
-    seen = np.stack([pairs["background"].to_numpy(), pairs["target"].to_numpy()])
-    return vocabulary, Models(len(frequent), counts, pairs["pair"].to_numpy(), seen)
+        _key().alias("key"), "text", F.col("__target").isNotNull().alias("target"))
+
+
+def _key() -> Column:
+    """Stands for a row; equal rows share it, and their losses."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _bigrams(batches):
+    """(context, word, target, docs) of a run of documents: one entry in ``docs`` for each occurrence."""
+    import pyarrow as pa
+
+    hashes, held, size = WordHashes(), {False: [], True: []}, 0
+
+    def emit():
+        for target, runs in held.items():
+            if not runs:
+                continue
+            context, word, key = (np.concatenate(x) for x in zip(*runs, strict=True))
+            runs.clear()
+            order = np.lexsort((word, context))
+            context, word, key = context[order], word[order], key[order]
+            first = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])])
+            ends = np.r_[first, len(key)]
+            for low in range(0, len(first), OUT_ROWS):
+                at, own = first[low:low + OUT_ROWS], ends[low:low + OUT_ROWS + 1]
+                docs = pa.ListArray.from_arrays(pa.array((own - own[0]).astype(np.int32)), pa.array(key[own[0]:own[-1]]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(context[at]), pa.array(word[at]), pa.array(np.full(len(at), target)), docs], ["context", "word", "target", "docs"])
+
+    for batch in batches:
+        for key, text, target in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            found = ascii_words(text)
+            if not found:
+                continue
+            word = hashes(found).view(np.int64)
+            held[target].append((np.r_[np.int64(START), word[:-1]], word, np.full(len(word), key, np.int64)))
+            size += len(word)
+            if size >= RUN_TOKENS:
+                yield from emit()
+                size = 0
+    yield from emit()
+
+
+def counted(bigrams: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Counts in background and target of every bigram, (context, word), and of every word."""
+    n = F.size("docs").cast("bigint")
+    pairs = bigrams.groupBy("context", "word").agg(
+        F.sum(F.when(F.col("target"), 0).otherwise(n)).alias("background"), F.sum(F.when(F.col("target"), n).otherwise(0)).alias("target"))
+    pairs = stored(pairs, "lm-pairs")
+    words = pairs.groupBy("word").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+    return pairs, stored(words, "lm-words")
+
+
+def losses(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """(context, word, n, target_loss, background_loss) of every bigram, in nats."""
+    both = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("background", "target")]
+    total = words.agg(*both, F.count("*").alias("words")).first()
+    texts = pairs.where(F.col("context") == START).agg(*both).first()
+    side = lambda word, name: words.select(
+        F.col("word").alias(word), F.col("background").alias(f"{name}_background"), F.col("target").alias(f"{name}_target"))
+    joined = pairs.join(side("word", "word"), "word").join(side("context", "context"), "context", "left")
+
+    def loss(name):
+        context = F.coalesce(F.col(f"context_{name}"), F.lit(texts[name]))
+        unigram = (F.col(f"word_{name}") + 1) / F.lit(float(total[name] + total["words"] + 1))
+        return (-F.log(BIGRAM * F.col(name) / F.greatest(context, F.lit(1)) + (1 - BIGRAM) * unigram)).alias(f"{name}_loss")
+
+    return joined.select("context", "word", (F.col("background") + F.col("target")).alias("n"), loss("target"), loss("background"))
 
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss and score, the losses per token."""
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, target_ids))
-
-    def make():
-        vocabulary, models = sent.value
-
-        def run(texts):
-            keys = [vocabulary.pairs(t) for t in texts]
-            sizes = np.array([len(k) for k in keys])
-            losses = models.losses(np.concatenate(keys)) if sizes.sum() else np.zeros((2, 0))
-            ends = np.cumsum(sizes)
-            sums = np.concatenate([np.zeros((2, 1)), np.cumsum(losses, axis=1)], axis=1)
-            means = (sums[:, ends] - sums[:, ends - sizes]) / np.maximum(sizes, 1)
-            return [sizes, means[1], means[0], means[1] - means[0]]
-        return run
-
-    return add_columns(docs.select("doc_id", "text"), make, {
-        "n_tokens": "bigint", "target_loss": "double", "background_loss": "double", "score": "double"}, keep=["doc_id"])
+    ready_workers(docs.sparkSession)
+    bigrams = stored(_flagged(docs, target_ids).mapInArrow(
+        _bigrams, "context bigint, word bigint, target boolean, docs array<bigint>"), "lm-bigrams")
+    pairs, words = counted(bigrams)
+    n_salts = F.ceil(F.col("n") / HOT).cast("int")
+    # at most one entry in HOT tokens; written, so that Spark knows how small it is
+    hot = stored(pairs.withColumn("n", F.col("background") + F.col("target")).where(F.col("n") > HOT).select("context", "word", n_salts.alias("salts")), "lm-hot")
+    model = losses(pairs, words).withColumn("salt", F.explode(F.sequence(F.lit(0), n_salts - 1))).drop("n")
+    salted = bigrams.join(hot, ["context", "word"], "left").select(
+        "context", "word", "docs", F.pmod(F.xxhash64("docs"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
+    sums = salted.join(model, ["context", "word", "salt"]).select(F.explode("docs").alias("key"), "target_loss", "background_loss")
+    sums = sums.groupBy("key").agg(*(F.avg(f"{name}_loss").alias(f"{name}_loss") for name in ("target", "background")))
+    rows = docs.select("doc_id", _key().alias("key"), F.size(split_words(F.coalesce("text", F.lit("")))).cast("bigint").alias("n_tokens"))
+    target, background = (F.coalesce(f"{name}_loss", F.lit(0.0)) for name in ("target", "background"))
+    return rows.join(sums, "key", "left").select(
+        "doc_id", "n_tokens", target.alias("target_loss"), background.alias("background_loss"), (target - background).alias("score"))

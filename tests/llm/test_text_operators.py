@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -220,6 +221,34 @@ def test_lm_scores(spark, docs):
     assert lmscore.cross_entropy_difference(docs.limit(0), target).count() == 0
 
 
+def test_lm_scores_use_every_word_and_bigram(spark, monkeypatch):
+    """Against plain counting, in a corpus so large that a share of its tokens would cut rare words and bigrams."""
+    filler = " ".join(["a b"] * 150_000)
+    rows = [(1, filler), (2, filler), (3, "rare one here"), (4, "rare two here"), (4, "rare two here"), (5, "Two here a"), (None, None)]
+    table, target = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(3,), (4,)], "doc_id long")
+    pairs, words, texts = (([Counter(), Counter()]) for _ in range(3))
+    for i, text in rows:
+        w, own = brute.words((text or "").lower()), i in (3, 4)
+        words[own].update(w)
+        pairs[own].update(zip([None, *w], w, strict=False))
+        texts[own][None] += bool(w)
+    size = len(set(words[0]) | set(words[1]))
+
+    def loss(own, context, word):
+        unigram = (words[own][word] + 1) / (sum(words[own].values()) + size + 1)
+        seen = (words[own] | texts[own])[context]
+        return -np.log(lmscore.BIGRAM * pairs[own][context, word] / max(1, seen) + (1 - lmscore.BIGRAM) * unigram)
+
+    for hot in (lmscore.HOT, 1000):  # the second deals the frequent bigrams over several tasks
+        monkeypatch.setattr(lmscore, "HOT", hot)
+        out = [r for r in lmscore.cross_entropy_difference(table, target).collect() if r["n_tokens"] == 3]
+        assert sorted(r["doc_id"] for r in out) == [3, 4, 4, 5]
+        for r in out:
+            w = brute.words(dict(rows)[r["doc_id"]].lower())
+            means = [np.mean([loss(own, *p) for p in zip([None, *w], w, strict=False)]) for own in (1, 0)]
+            assert np.allclose([r["target_loss"], r["background_loss"], r["score"]], [*means, means[0] - means[1]])
+
+
 def test_pipeline_keeps_columns(spark, tmp_path):
     import corpus_pipeline
 
