@@ -8,9 +8,12 @@ one of its units has in frequent words, skips the blocks that cannot reach the
 threshold, and scores only the units of the others. Nothing above the
 threshold is lost, as the bounds are upper bounds. Impacts are divided by a
 unit's score for itself, so one threshold, a share of the possible score, serves
-short and long items. Items found this way are then verified on the whole text:
-five-word shingles of the question and of the answer (the last sentence) have to
-occur in the document.
+short and long items. Questions and whole items are indexed once more as units of
+their own, searched with all words of a document; their thresholds are what a
+document has of them at least if it holds the needed share of their shingles, so
+no item is lost, wherever its parts stand. Items found either way are then verified
+on the whole text: five-word shingles of the question and of the answer (the last
+sentence) have to occur in the document.
 
 The benchmark is read in shards of bounded size, so a large one takes more passes
 over the documents and no more memory.
@@ -72,11 +75,68 @@ def grams(words: list[bytes]) -> set:
     return {tuple(words[i:i + WIDTH]) for i in range(max(1, len(words) - WIDTH + 1))} if words else set()
 
 
+def impacts(words: list[bytes], frequency: dict[bytes, int], n_items: int, mean: float) -> dict[bytes, float]:
+    """BM25 weights of the words of a unit, as shares of its score for itself."""
+    counts, weights = {}, {}
+    for w in words:
+        counts[w] = counts.get(w, 0) + 1
+    for w, n in counts.items():
+        df = frequency.get(w, 1)
+        weights[w] = np.log(1 + (n_items - df + 0.5) / (df + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * len(words) / mean))
+    own = sum(weights.values()) or 1.0
+    return {w: x / own for w, x in weights.items()}
+
+
+def least_share(weights: dict[bytes, float], shingles: list[tuple]) -> float:
+    """The least that the words of a text weigh if it holds OVERLAP of these shingles.
+
+    A word can only be absent if all its shingles are: with its weight dealt out evenly over them, the absent words weigh
+    at most what the heaviest shingles do that may be absent.
+    """
+    holders: dict[bytes, int] = {}
+    for g in shingles:
+        for w in set(g):
+            holders[w] = holders.get(w, 0) + 1
+    dealt = sorted((sum(weights[w] / holders[w] for w in set(g)) for g in shingles), reverse=True)
+    absent = int((1 - OVERLAP) * len(shingles) + 1e-9)
+    return (1 - sum(dealt[:absent])) * 0.9999
+
+
+class Parts:
+    """Questions and whole items as units, for a search with all words of a document."""
+
+    def __init__(self, items: list[tuple[int, set, set]], words: list[tuple[list, list]], rare: dict[bytes, int], weigh):
+        units = []  # (position of the item, least share, weights)
+        for at, ((_, question, answer), (asked, answered)) in enumerate(zip(items, words, strict=True)):
+            for own, shingles in ((asked, [*question]), (asked + answered, [*question, *answer])):
+                if own and (own is asked or answered):
+                    weights = weigh(own)
+                    units.append((at, least_share(weights, shingles), weights))
+        self.rare = rare
+        self.blocks = [units[i:i + BLOCK] for i in range(0, len(units), BLOCK)]
+        self.bounds = np.zeros((len(rare), len(self.blocks)), np.float32)
+        self.needed = np.zeros(len(self.blocks), np.float32)
+        for b, block in enumerate(self.blocks):
+            for _, _, weights in block:
+                for w, x in weights.items():
+                    if w in rare:
+                        self.bounds[rare[w], b] = max(self.bounds[rare[w], b], x)
+            self.needed[b] = min(least - sum(x for w, x in weights.items() if w not in rare) for _, least, weights in block) - 1e-4
+
+    def search(self, words: set[bytes]) -> set[int]:
+        """Positions of the items of which a text of these words can hold enough."""
+        rows = [self.rare[w] for w in words if w in self.rare]
+        total = self.bounds[rows].sum(axis=0) if rows else np.zeros(len(self.blocks), np.float32)
+        return {at for b in np.flatnonzero(total >= self.needed).tolist() for at, least, weights in self.blocks[b]
+                if sum(x for w, x in weights.items() if w in words) >= least}
+
+
 class Index:
     """Units, impacts and block bounds of one shard of the benchmark."""
 
     def __init__(self, items: list[tuple[int, str]], frequency: dict[bytes, int], n_items: int):
-        self.items = [(i, *(grams(normal_words(part)) for part in question_and_answer(t))) for i, t in items]
+        parts = [tuple(normal_words(part) for part in question_and_answer(t)) for _, t in items]
+        self.items = [(i, grams(q), grams(a)) for (i, _), (q, a) in zip(items, parts, strict=True)]
         units, self.owner = [], []
         for at, (_, text) in enumerate(items):
             words = normal_words(text)
@@ -89,16 +149,8 @@ class Index:
         # postings: for every block, the impacts of each term in its units
         self.postings = [dict() for _ in range(self.blocks)]
         for u, words in enumerate(units):
-            counts = {}
-            for w in words:
-                counts[w] = counts.get(w, 0) + 1
-            weights = {}
-            for w, n in counts.items():
-                df = frequency.get(w, 1)
-                weights[w] = np.log(1 + (n_items - df + 0.5) / (df + 0.5)) * n * (K1 + 1) / (n + K1 * (1 - B + B * len(words) / self.mean))
-            own = sum(weights.values()) or 1.0
-            for w, x in weights.items():
-                self.postings[u // BLOCK].setdefault(self.terms[w], []).append((u % BLOCK, x / own))
+            for w, x in impacts(words, frequency, n_items, self.mean).items():
+                self.postings[u // BLOCK].setdefault(self.terms[w], []).append((u % BLOCK, x))
         # block maxima, one row per rare term; frequent terms together never exceed what the best unit has of them
         rare = [t for t, k in self.terms.items() if frequency.get(t, 1) <= FREQUENT * n_items + 1]
         self.rare = {t: row for row, t in enumerate(rare)}
@@ -113,6 +165,7 @@ class Index:
                     for u, x in entries:
                         frequent[b, u] += x
         self.needed = (THRESHOLD * 0.9999 - frequent.max(axis=1, initial=0.0)).astype(np.float32)
+        self.parts = Parts(self.items, parts, self.rare, lambda words: impacts(words, frequency, n_items, self.mean))
 
     def search(self, words: list[bytes]) -> list[tuple[int, float]]:
         """(position of an item, best share of its score) for all passages of a document that reach the threshold."""
@@ -136,9 +189,21 @@ class Index:
                 best[item] = max(best.get(item, 0.0), float(scores[u]))
         return sorted(best.items())
 
+    def best(self, item: int, words: list[bytes]) -> float:
+        """The best share of its score that a passage has of one unit of an item."""
+        passages = [{self.terms.get(w) for w in words[p:p + PASSAGE]} for p in range(0, len(words), STRIDE)]
+        out = 0.0
+        for u in (u for u, owner in enumerate(self.owner) if owner == item):
+            own = [(t, x) for t, entries in self.postings[u // BLOCK].items() for v, x in entries if v == u % BLOCK]
+            out = max(out, *(float(sum(x for t, x in own if t in passage)) for passage in passages))
+        return out
+
     def verified(self, words: list[bytes]) -> list[tuple[int, float, float, float]]:
         """(item_id, score, question overlap, answer overlap) of the items that a text of these words holds."""
-        found = self.search(words) if words and self.terms else []
+        if not words or not self.terms:
+            return []
+        found: dict[int, float | None] = dict.fromkeys(self.parts.search(set(words)))
+        found.update(self.search(words))
         if not found:
             return []
         runs: dict[int, set] = {}
@@ -155,12 +220,12 @@ class Index:
             return hit / len(needed)
 
         out = []
-        for at, score in found:
+        for at, score in sorted(found.items(), key=lambda x: x[0]):
             item, question, answer = self.items[at]
             q, a = share(question), share(answer)
             whole = (q * len(question) + a * len(answer)) / max(1, len(question) + len(answer))
             if q >= OVERLAP or whole >= OVERLAP:
-                out.append((item, score, q, a))
+                out.append((item, self.best(at, words) if score is None else score, q, a))
         return out
 
 

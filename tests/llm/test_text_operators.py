@@ -211,6 +211,33 @@ def test_decontamination_finds_every_item_that_scores(spark, real):
         assert {i: round(x, 9) for i, x in index.search(words)} == {i: round(x, 9) for i, x in expected.items()}
 
 
+def test_decontamination_equals_shingle_overlap(spark, real):
+    """Against all pairs of documents and items, with questions and scattered items planted without the rest."""
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    items = [(r["item_id"], r["text"]) for r in benchmark.collect() if r["text"]]
+    items.append((5000, "Name the river of the old mill? " + " ".join(f"answer{i}" for i in range(40)) + "."))
+    items.append((5001, " ".join(f"q{i}" for i in range(70)) + "? " + " ".join(f"a{i}" for i in range(100)) + "."))
+    texts = [r["text"] for r in real.limit(60).collect()]
+    filler = " ".join(f"filler{i}" for i in range(150))
+    for _, text in items:
+        question, answer = decontaminate.question_and_answer(text)
+        texts += [f"{filler} {question} {filler}", f"{filler} {answer}"]
+        w = text.split()
+        texts.append(f" {filler} ".join(" ".join(w[i:i + 30]) for i in range(0, len(w), 30)))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected, parts = set(), {i: [decontaminate.grams(decontaminate.normal_words(x)) for x in decontaminate.question_and_answer(t)] for i, t in items}
+    for d, text in enumerate(texts):
+        words = decontaminate.normal_words(text)
+        held = {n: {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} for n in range(1, 6)}
+        for i, (q, a) in parts.items():
+            hit_q, hit_a = (sum(g in held[len(g)] for g in x) for x in (q, a))
+            if q and hit_q / len(q) >= decontaminate.OVERLAP or q | a and (hit_q + hit_a) / (len(q) + len(a)) >= decontaminate.OVERLAP:
+                expected.add((d, i))
+    got = decontaminate.contaminated(table, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == expected and len(got) == len(expected)
+    assert any(r["score"] < decontaminate.THRESHOLD for r in got if r["item_id"] == 5000)
+
+
 def test_lm_scores(spark, docs):
     rows = [(i, ("red green blue " if i % 2 else "one two three ") * 30) for i in range(20)]
     table = spark.createDataFrame(rows, "doc_id long, text string").unionByName(docs.select("doc_id", "text").where("doc_id IS NULL OR doc_id < 4").selectExpr("doc_id + 100 AS doc_id", "text"))
