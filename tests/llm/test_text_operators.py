@@ -140,6 +140,18 @@ def test_pages(spark):
     assert page_text.html_extract(frame.limit(0)).count() == 0
 
 
+def test_article_keeps_its_links_and_marked_sections():
+    article = ("<h2><a href=/x>Linked headline</a></h2><p><a href=/y>Linked paragraph</a><ul><li><a href=/z>item</a></ul>"
+               "<section id='discussion'><p>one</section><h2 id='related-work'>two</h2><section id='search-algorithm'>three</section>"
+               "<div class='no-sidebar'>four</div><div class='content has-sidebar'>five</div><p aria-label='share of votes'>six</p>"
+               "<section class='discussion'>seven</section><ul class='share'><li>gone</ul><nav>gone</nav><div class='x Related'>gone</div><p hidden>gone</p>")
+    expected = "Linked headline Linked paragraph item one two three four five six seven"
+    menu = "<div class='side-menu'>gone</div><p>gone"
+    for page in (f"<article>{article}</article>", f"<main id='search' class='has-sidebar'>{article}</main>", f"<div class='page no-sidebar'><article>{article}</article></div>",
+                 f"<div class='content has-sidebar'>{article}</div>"):
+        assert page_text.main_text(f"<body>{menu}{page}</body>", None) == expected
+
+
 def test_common_lines():
     assert page_text.shared_lines([1, 2, 3, 4, 5], [9, 2, 4, 7, 5]) == [1, 3, 4]
 
