@@ -2,8 +2,10 @@
 
 Two first-order character models are trained from labelled samples: the values
 that the patterns find (random strings) and the ordinary words of the texts
-(identifiers). A long unbroken token is a secret when its log-likelihood ratio
-per transition is above a limit. Everything is DataFrame functions.
+(identifiers). A token is a secret when its log-likelihood ratio is above a limit
+per transition and another in total, which asks more per character of short ones.
+Single separators inside a token belong to it and are not scored. Everything is
+DataFrame functions.
 
 Positions come from splitting a text at a pattern: the lengths of the pieces
 before a match and of the matches before it give its start in code points.
@@ -27,14 +29,17 @@ KINDS = (
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 MODEL_KIND = "markov"
-#: Tokens that the models judge: at least one digit, this many characters.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-#: Texts that the identifier model is trained on, at most: a sample by hash.
+#: Tokens that the models judge: parts with single separators between them; shorter ones than LEAST cannot reach the limits.
+LEAST, SEPARATORS = 8, ".:~"
+CANDIDATE = rf"(?=[A-Za-z0-9+/_=.:~-]{{{LEAST}}})[A-Za-z0-9+/_=-]+(?:[.:~][A-Za-z0-9+/_=-]+)*"
+#: Texts that the identifier model is trained on, at most: a sample by hash, each text once.
 FIT_TEXTS = 2_000
 #: Words of a text that count as an identifier.
 IDENTIFIER = r"[A-Za-z][A-Za-z0-9_-]{3,}"
 #: Log-likelihood ratio per transition from which on a token is a secret.
 MIN_RATIO = 0.7
+#: Log-likelihood ratio of the whole token from which on it is a secret: the limit of 20 characters.
+MIN_TOTAL = 19 * MIN_RATIO
 MASK = "[SECRET]"
 _LOW, _SIGNS = 32, 96
 
@@ -86,7 +91,7 @@ def train(base: DataFrame) -> list[float]:
     secret = base.where(F.size("__s_base") > 0).select(F.explode("__s_base.value").alias("value"))
     total = base.count()
     share = 1_000_000 if total <= FIT_TEXTS else int(1_000_000 * FIT_TEXTS / total)
-    sample = base.where((F.pmod(F.xxhash64("__s_text"), F.lit(1_000_000)) < share) & (F.size("__s_base") == 0))
+    sample = base.where((F.pmod(F.xxhash64("__s_text"), F.lit(1_000_000)) < share) & (F.size("__s_base") == 0)).select("__s_text").distinct()
     plain = sample.select(F.explode(F.regexp_extract_all("__s_text", F.lit(IDENTIFIER), F.lit(0))).alias("value"))
     tables = []
     for values in (secret, plain):
@@ -96,25 +101,39 @@ def train(base: DataFrame) -> list[float]:
             rows[pair // _SIGNS] += n
         # additive smoothing over the 66 characters that a candidate can hold
         tables.append([math.log((counts.get(p, 0) + 0.5) / (rows[p // _SIGNS] + 0.5 * 66)) for p in range(_SIGNS * _SIGNS)])
-    return [a - b for a, b in zip(*tables, strict=True)]
+    marks = {ord(c) - _LOW for c in SEPARATORS}
+    return [0.0 if marks & {*divmod(p, _SIGNS)} else a - b for p, (a, b) in enumerate(zip(*tables, strict=True))]
 
 
-def _judged_tokens(text: Column, base: Column, ratios: list[float]) -> Column:
-    """Spans of candidate tokens outside the pattern spans whose ratio is high enough."""
+def _open_text(text: Column, base: Column) -> Column:
+    """The text with blanks in place of the pattern spans, so that no other place moves."""
+    blanked = F.aggregate(
+        F.array_sort(base), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda acc, s: F.when(s["stop"] <= acc["at"], acc).otherwise(F.struct(
+            s["stop"].alias("at"),
+            F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))),
+                     F.repeat(F.lit(" "), s["stop"] - F.greatest(s["start"], acc["at"]))).alias("out"))),
+        lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))))
+    return F.when(F.size(base) > 0, blanked).otherwise(text)
+
+
+def _judged_tokens(text: Column, ratios: list[float]) -> Column:
+    """Spans of candidate tokens whose ratio is high enough; ``text`` has blanks for the pattern spans."""
     table = F.array(*map(F.lit, ratios)) if not ratios else F.lit(ratios)
     found, pieces = _matches(text, CANDIDATE)
     code = lambda v, i: F.ascii(F.substring(v, i, 1)) - _LOW
 
-    def mean_ratio(v: Column) -> Column:
+    def secret(v: Column) -> Column:
         total = F.aggregate(F.sequence(F.lit(1), F.length(v) - 1), F.lit(0.0),
                             lambda acc, i: acc + F.get(table, code(v, i) * _SIGNS + code(v, i + 1)))
-        return total / (F.length(v) - 1)
+        # a separator takes two transitions out
+        scored = F.length(v) - 1 - 2 * (F.length(v) - F.length(F.translate(v, SEPARATORS, "")))
+        return F.when(F.length(v) >= LEAST, total > F.greatest(F.lit(MIN_TOTAL), scored * MIN_RATIO)).otherwise(False)
 
     spans = F.zip_with(found, _starts(found, pieces), lambda m, s: F.struct(
         s.alias("start"), F.lit(len(KINDS)).alias("place"), (s + F.length(m)).alias("stop"), F.lit(MODEL_KIND).alias("kind"), m.alias("value")))
-    fresh = F.filter(spans, lambda s: s["value"].rlike("[0-9]") & ~F.exists(
-        base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-    return F.when(text.rlike(CANDIDATE), F.filter(fresh, lambda s: mean_ratio(s["value"]) > MIN_RATIO)).otherwise(F.array().cast(_SPANS))
+    # places are only worked out for a text with a secret
+    return F.when(F.exists(found, secret), F.filter(spans, lambda s: secret(s["value"]))).otherwise(F.array().cast(_SPANS))
 
 
 def spanned(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -123,7 +142,7 @@ def spanned(docs: DataFrame, text: str = "text") -> DataFrame:
     parts = {f"__s_{name}": _spans(F.col("__s_text"), i, name, *rest) for i, (name, *rest) in enumerate(KINDS)}
     df = df.withColumns(parts).withColumn("__s_base", F.concat(*parts))
     ratios = train(df.select("__s_text", "__s_base"))
-    return df.withColumn("__s_more", _judged_tokens(F.col("__s_text"), F.col("__s_base"), ratios))
+    return df.withColumn("__s_more", _judged_tokens(_open_text(F.col("__s_text"), F.col("__s_base")), ratios))
 
 
 def _listed(spans: Column) -> Column:

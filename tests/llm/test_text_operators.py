@@ -91,6 +91,21 @@ def test_random_string_is_found_and_masked(docs, real):
     assert secret_scan.redacted(docs.limit(0)).count() == 0
 
 
+def test_short_digitless_and_parted_secrets(spark, real):
+    """Planted random strings that have no digit, fewer than 20 characters or separators; ordinary words stay."""
+    rng, letters = random.Random(4), "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    draw = lambda signs, n: "".join(rng.choice(signs) for _ in range(n))
+    planted = [*(draw(letters, 24) for _ in range(20)), *(draw(letters + "0123456789", 14) for _ in range(20)),
+               *(":".join(draw(letters + "0123456789", 8) for _ in range(3)) for _ in range(20))]
+    rows = [(10_000 + i, f"é password=abcdef12 internationalisations {v} is random") for i, v in enumerate(planted)]
+    table = real.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r["doc_id"]: r for r in secret_scan.secret_scan(table).collect()}
+    right = [found[i]["spans"] == f"assign:2:19,markov:42:{42 + len(v)}" for i, v in zip(range(10_000, 10_060), planted, strict=True)]
+    assert all(sum(right[i:i + 20]) >= 18 for i in (0, 20, 40))
+    other = [r["n_markov"] for i, r in found.items() if i < 10_000]
+    assert sum(other) <= 0.01 * len(other)
+
+
 def test_language(docs, real):
     rows = {r["doc_id"]: r for r in langid.language_id(real).collect()}
     lang = {r["doc_id"]: r["lang"] for r in real.collect()}
