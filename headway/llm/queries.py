@@ -78,9 +78,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from headway.llm.filter_audit import filter_audit
+
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from headway.llm.whiten import whitened
+
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from headway.llm.lz_print import phrase_fingerprints
+
+    return phrase_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_lm_scoring, op2_minhash_dedup, op3_secret_scan, op4_language_id, op5_suffix_dedup, op6_html_extract, op7_byte_bpe,
-    op8_toxicity, op9_decontaminate, op10_quality_rules)}
+    op8_toxicity, op9_decontaminate, op10_quality_rules, op11_filter_audit, op12_whitening, op13_phrase_fingerprints)}
 
 #: White space of the contracts as a DuckDB pattern.
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -145,4 +163,44 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
-ORACLES: dict[str, str] = {"op2_minhash_dedup": OP2_SQL, "op10_quality_rules": _op10_sql()}
+def _op11_sql() -> str:
+    from headway.llm import filter_audit as a
+
+    bits = range(len(a.LETTERS))
+    letters = ", ".join(f"('{a.LETTERS[i]}', {1 << i})" for i in bits)
+    return f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+firsts AS (SELECT t, MIN(doc_id) AS first_id FROM texts GROUP BY t),
+marks AS (SELECT doc_id, MAX(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, MAX(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, CASE WHEN len(w) < {a.MIN_WORDS} THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(w)) < {a.MIN_DISTINCT_PERCENT} * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > {a.MAX_UPPER_PERCENT} * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '{a.SYMBOLS}') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > first_id THEN 16 ELSE 0 END AS mask, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM texts JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)),
+cells AS (SELECT part, mask, COUNT(*) AS n, SUM(good) AS good, SUM(toxic) AS toxic FROM masks GROUP BY part, mask),
+letters(letter, bit) AS (VALUES {letters}),
+orders(filter_order, applied) AS (
+  SELECT '', 0 UNION ALL SELECT filter_order || letter, applied | bit FROM orders, letters WHERE applied & bit = 0),
+steps AS (
+  SELECT filter_order, step, bit, list_sum(list_transform(range(1, step), lambda i:
+      1 << (strpos('{a.LETTERS}', substr(filter_order, i, 1)) - 1)))::INT AS before
+  FROM (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM orders WHERE length(filter_order) = 5)
+  JOIN letters ON letter = substr(filter_order, step, 1)),
+counted AS (
+  SELECT part, filter_order, step, bit,
+    SUM(CASE WHEN mask & (coalesce(before, 0) | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    SUM(CASE WHEN mask & coalesce(before, 0) = 0 AND mask & bit <> 0 THEN n ELSE 0 END)::BIGINT AS removed,
+    SUM(CASE WHEN mask & coalesce(before, 0) <> 0 AND mask & bit <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    SUM(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    SUM(CASE WHEN mask & coalesce(before, 0) = 0 AND mask & bit <> 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+    SUM(CASE WHEN mask & coalesce(before, 0) = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (SUM(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM counted"""
+
+
+ORACLES: dict[str, str] = {"op2_minhash_dedup": OP2_SQL, "op10_quality_rules": _op10_sql(), "op11_filter_audit": _op11_sql()}
