@@ -12,7 +12,9 @@ from checks.joins import GOLD_SQL, rounded_gold
 from checks.views import AS_OF, WEATHER_CONDITION_SQL
 from headway import contracts as C
 from headway.functions.times import moment
+from headway.operators.fleet import gold_hourly
 from headway.operators.flatten import flatten_vehicles
+from headway.operators.medallion import silver_filter
 from headway.sources import schedule, topics, weather
 from headway.sources.feed import scan_feed
 from headway.sources.tables import Layers, replace_table
@@ -220,14 +222,11 @@ def _(t):
 
 
 @query("append_bronze_trip_updates", f"""
-SELECT TIMESTAMP '{AS_OF}' AS ingestion_timestamp, {UPDATE_COLUMNS.replace(
-    "timestamp", "TIMESTAMP '2024-01-01' + to_days(CAST(day(timestamp) AS INT) - 1) AS timestamp")} FROM trip_updates""")
+SELECT TIMESTAMP '{AS_OF}' AS ingestion_timestamp, {UPDATE_COLUMNS} FROM trip_updates""")
 def _(t):
-    # the shipping dates span years; all rows moved into one month, as a feed spans days
+    """Updates under their own dates, which span years."""
     tables = layers(t)
-    recent = t.trip_updates.withColumn("timestamp", F.expr(
-        "TIMESTAMP '2024-01-01' + make_dt_interval(day(timestamp) - 1)"))
-    tables.append_trip_updates(recent, 0, ingested_at=moment(AS_OF))
+    tables.append_trip_updates(t.trip_updates, 0, ingested_at=moment(AS_OF))
     return tables.table("bronze.trip_updates")
 
 
@@ -239,6 +238,24 @@ def _(t):
     return tables.table("bronze.weather_observations")
 
 
+GOLD_KEYS = ["hour_timestamp", "agency_id", "route_id"]
+GOLD_TABLE_SQL = GOLD_SQL.replace("COUNT(DISTINCT vehicle_id)", "CAST(COUNT(DISTINCT vehicle_id) AS INT)").replace(
+    "COUNT(*) AS total_obs", "CAST(COUNT(*) AS INT) AS total_obs")
+
+
+@query("upsert_gold_table", f"""
+WITH old AS ({GOLD_TABLE_SQL.format("vehicle_positions")}), new AS ({GOLD_TABLE_SQL.format("silver_positions")})
+SELECT * FROM new UNION ALL SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE
+  new.hour_timestamp = old.hour_timestamp AND new.agency_id = old.agency_id AND new.route_id = old.route_id)""")
+def _(t):
+    """Two upserts into the table, and a third that is written but cut short before its commit."""
+    tables, name = layers(t), "gold.hourly_vehicle_metrics"
+    tables.upsert(name, gold_hourly(t.positions), GOLD_KEYS)
+    tables.upsert(name, gold_hourly(silver_filter(t.positions, as_of=AS_OF)), GOLD_KEYS)
+    tables.stage_upsert(name, gold_hourly(t.positions).withColumn("total_observations", F.lit(-1)), GOLD_KEYS)
+    return rounded_gold(tables.table(name))
+
+
 @query("refresh_gold", GOLD_SQL.format("silver_positions").replace(
     "COUNT(DISTINCT vehicle_id)", "CAST(COUNT(DISTINCT vehicle_id) AS INT)").replace(
     "COUNT(*) AS total_obs", "CAST(COUNT(*) AS INT) AS total_obs"))
@@ -247,5 +264,6 @@ def _(t):
     tables = layers(t)
     tables.append_positions(t.positions, 0)
     tables.promote(tables.batch("bronze.vehicle_positions", 0), 0, as_of=AS_OF)
+    tables.add_partials("gold.hourly_partials", 0)
     tables.refresh_hourly()
     return rounded_gold(tables.table("gold.hourly_vehicle_metrics"))

@@ -100,6 +100,19 @@ total_vehicles INT, avg_speed_kmh DOUBLE, max_speed_kmh DOUBLE,
 avg_congestion_score DOUBLE, total_observations INT
 """
 
+# sums that can be added up: of the positions of a vehicle in an hour, of the stop updates of a trip on a day
+HOURLY_PARTIALS = """
+hour_timestamp TIMESTAMP, agency_id STRING, route_id STRING, vehicle_id STRING,
+speed_sum DOUBLE, speeds BIGINT, max_speed_kmh DOUBLE, score_sum BIGINT, observations BIGINT
+"""
+
+ROUTE_PARTIALS = """
+date DATE, agency_id STRING, route_id STRING, trip_id STRING, delay_sum BIGINT,
+delays BIGINT, max_delay_seconds INT, min_delay_seconds INT, on_time BIGINT
+"""
+
+MESSAGE = "topic STRING, key STRING, value STRING"
+
 ROUTE_PERFORMANCE = """
 date DATE, agency_id STRING, route_id STRING, avg_delay_seconds DOUBLE,
 max_delay_seconds INT, min_delay_seconds INT, on_time_percentage DOUBLE,

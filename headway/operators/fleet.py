@@ -49,6 +49,78 @@ def route_performance(trip_updates: DataFrame, *, on_time_s: tuple[int, int] = C
     )
 
 
+def hourly_partials(positions: DataFrame) -> DataFrame:
+    """Sums per hour, agency, route and vehicle, from which hourly metrics add up exactly, however the rows were cut."""
+    kmh = speed_kmh(F.col("speed"))
+    return (
+        positions.where(F.col("route_id").isNotNull())
+        .groupBy(F.date_trunc("hour", "timestamp").alias("hour_timestamp"), "agency_id", "route_id", "vehicle_id")
+        .agg(
+            F.sum(kmh).alias("speed_sum"), F.count(kmh).alias("speeds"), F.max(kmh).alias("max_speed_kmh"),
+            F.sum(congestion_score(F.col("congestion_level"))).cast("bigint").alias("score_sum"),
+            F.count(F.lit(1)).alias("observations"),
+        )
+    )
+
+
+def merged_hourly_partials(partials: DataFrame, *extra: str) -> DataFrame:
+    """Partial sums of several batches as one row per hour, agency, route and vehicle (and ``extra`` columns)."""
+    return partials.groupBy(*extra, "hour_timestamp", "agency_id", "route_id", "vehicle_id").agg(
+        F.sum("speed_sum").alias("speed_sum"), F.sum("speeds").alias("speeds"), F.max("max_speed_kmh").alias("max_speed_kmh"),
+        F.sum("score_sum").alias("score_sum"), F.sum("observations").alias("observations"))
+
+
+def hourly_from_partials(partials: DataFrame) -> DataFrame:
+    """The metrics of `gold_hourly` from partial sums; a vehicle counts once, in whatever batches it came."""
+    return (
+        merged_hourly_partials(partials)
+        .groupBy("hour_timestamp", "agency_id", "route_id")
+        .agg(
+            F.count("vehicle_id").cast("int").alias("total_vehicles"),
+            F.try_divide(F.sum("speed_sum"), F.sum("speeds")).alias("avg_speed_kmh"),
+            F.max("max_speed_kmh").alias("max_speed_kmh"),
+            (F.sum("score_sum") / F.sum("observations")).alias("avg_congestion_score"),
+            F.sum("observations").cast("int").alias("total_observations"),
+        )
+    )
+
+
+def route_partials(trip_updates: DataFrame, *, on_time_s: tuple[int, int] = C.ON_TIME_S) -> DataFrame:
+    """Sums per date, agency, route and trip, from which route performance adds up."""
+    delay = F.col("arrival_delay")
+    return (
+        trip_updates.where(F.col("route_id").isNotNull())
+        .groupBy(F.to_date("timestamp").alias("date"), "agency_id", "route_id", "trip_id")
+        .agg(
+            F.sum(delay).cast("bigint").alias("delay_sum"), F.count(delay).alias("delays"),
+            F.max(delay).alias("max_delay_seconds"), F.min(delay).alias("min_delay_seconds"),
+            F.count_if(delay.between(*on_time_s)).alias("on_time"),
+        )
+    )
+
+
+def merged_route_partials(partials: DataFrame, *extra: str) -> DataFrame:
+    return partials.groupBy(*extra, "date", "agency_id", "route_id", "trip_id").agg(
+        F.sum("delay_sum").alias("delay_sum"), F.sum("delays").alias("delays"),
+        F.max("max_delay_seconds").alias("max_delay_seconds"), F.min("min_delay_seconds").alias("min_delay_seconds"),
+        F.sum("on_time").alias("on_time"))
+
+
+def route_from_partials(partials: DataFrame) -> DataFrame:
+    """The summary of `route_performance` from partial sums."""
+    return (
+        merged_route_partials(partials)
+        .groupBy("date", "agency_id", "route_id")
+        .agg(
+            F.try_divide(F.sum("delay_sum"), F.sum("delays")).alias("avg_delay_seconds"),
+            F.max("max_delay_seconds").alias("max_delay_seconds"),
+            F.min("min_delay_seconds").alias("min_delay_seconds"),
+            F.try_divide(F.sum("on_time") * 100.0, F.sum("delays")).alias("on_time_percentage"),
+            F.count("trip_id").cast("int").alias("total_trips"),
+        )
+    )
+
+
 def fleet_stats(positions: DataFrame, *, with_speed_only: bool = True) -> DataFrame:
     """Vehicles, routes, average and top speed of the whole fleet, as one row.
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from headway import contracts as C
 from headway.functions.times import older_than
-from headway.operators.skew import DEFAULT_SALTS, salted_join
 
 
 def silver_filter(positions: DataFrame, *, as_of=None, max_speed: float = C.MAX_SPEED_MS,
@@ -22,25 +21,26 @@ def silver_filter(positions: DataFrame, *, as_of=None, max_speed: float = C.MAX_
     )
 
 
-def first_batch_only(positions: DataFrame, seen: DataFrame, *,
-                     salts: int = DEFAULT_SALTS) -> DataFrame:
+def first_batch_only(positions: DataFrame, seen: DataFrame) -> DataFrame:
     """Rows whose ``vehicle_id`` is ``NOT IN`` the ids already promoted.
 
     All rows of a vehicle's first batch pass and later batches never do. The
     NULL rule of NOT IN holds: an empty ``seen`` passes every row; otherwise a
     NULL id never passes, and a NULL in ``seen`` stops all rows. The two facts
-    about ``seen`` are subqueries; the ids meet in a plain anti join, which can
-    be shuffled, unlike the join Spark plans for NOT IN. A vehicle with very
-    many rows is shared out by salt.
+    about ``seen`` are subqueries.
+
+    The batch's ids are reduced to one row each before they meet ``seen``, so a
+    vehicle with very many rows is one row there, and a ``seen`` that is bucketed
+    by id is read where it lies: neither shuffled nor copied. The rows then meet
+    the new ids in a join that AQE can split.
     """
     ids = seen.select("vehicle_id")
     is_empty = ~ids.limit(1).exists()
     has_null = ids.where(F.col("vehicle_id").isNull()).limit(1).exists()
-    allowed = is_empty | (F.col("vehicle_id").isNotNull() & ~has_null)
-    return salted_join(
-        positions.where(allowed), ids.distinct(), ["vehicle_id"], "left_anti",
-        spread_by=["timestamp"], salts=salts,
-    )
+    named = F.col("vehicle_id").isNotNull()
+    fresh = positions.where(named & ~has_null).select("vehicle_id").distinct().join(ids, "vehicle_id", "left_anti")
+    return positions.where(named).join(fresh, "vehicle_id", "left_semi").unionByName(
+        positions.where(F.col("vehicle_id").isNull() & is_empty)).select(*positions.columns)
 
 
 def first_per_event(positions: DataFrame, seen: DataFrame) -> DataFrame:

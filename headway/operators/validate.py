@@ -209,13 +209,17 @@ def alerts(df: DataFrame, rules: list[Rule], *, entity_type: str, entity_id: str
     )
 
 
+BOUNDS = ("min_latitude", "max_latitude", "min_longitude", "max_longitude")
+
+
+def with_agency_bounds(positions: DataFrame, agencies: DataFrame) -> DataFrame:
+    """Positions with the service area of their agency, for `agency_bounds_rules`; an unknown agency has none."""
+    return positions.join(agencies.select("agency_id", *BOUNDS), "agency_id", "left")
+
+
 def check_agency_bounds(positions: DataFrame, agencies: DataFrame) -> DataFrame:
     """Add ``violations`` for positions outside their own agency's service area."""
-    bounds = agencies.select(
-        "agency_id", "min_latitude", "max_latitude", "min_longitude", "max_longitude"
-    )
-    joined = annotate(positions.join(bounds, "agency_id", "left"), agency_bounds_rules())
-    return joined.drop("min_latitude", "max_latitude", "min_longitude", "max_longitude")
+    return annotate(with_agency_bounds(positions, agencies), agency_bounds_rules()).drop(*BOUNDS)
 
 
 # Java's number suffixes (5d, 1f) convert in Spark and are no numbers here

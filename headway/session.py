@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation, SparkSession
 
 # Settings the operators rely on; all of them can be changed on a live session.
 RUNTIME_SETTINGS = {
@@ -58,3 +59,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         shared = tempfile.mkdtemp(prefix="headway-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/headway/{label}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever store it lies; one that is not there is no harm."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+def observed(observation: Observation, *counters: str) -> dict[str, int]:
+    """What an action counted on the way; an input that is planned away as empty has no metrics and counts nothing."""
+    try:
+        return {name: observation.get[name] or 0 for name in counters}
+    except Py4JJavaError:
+        return dict.fromkeys(counters, 0)

@@ -53,6 +53,22 @@ def publish(messages: DataFrame, *, servers: str, file_format: str = "kafka") ->
     ).save()
 
 
+def to_folder(path: str, file_format: str = "json"):
+    """A publishing function that writes each batch of messages to a folder of its own, replacing an earlier try."""
+    def write(messages: DataFrame, batch_id: int) -> None:
+        messages.write.mode("overwrite").format(file_format).save(f"{path.rstrip('/')}/batch={batch_id}")
+
+    return write
+
+
+def to_topics(servers: str):
+    """A publishing function that sends each batch to its topics; consumers see a batch again if a try failed half-way."""
+    def send(messages: DataFrame, batch_id: int) -> None:
+        publish(messages, servers=servers)
+
+    return send
+
+
 def publish_stream(messages: DataFrame, *, servers: str, checkpoint: str, file_format: str = "kafka"):
     """A stream writer for messages; call ``start()`` on it."""
     return messages.writeStream.format(file_format).options(

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway import contracts as C
-from headway.functions.codes import congestion_score, speed_kmh
+from headway.functions.codes import congestion_score, is_severe, speed_kmh
 from headway.functions.times import older_than
-from headway.operators.validate import alerts, vehicle_rules
+from headway.operators.validate import alerts, trip_update_rules, vehicle_rules, weather_rules
+from headway.operators.weather import WEATHER_VALUES
 
 
 def fresh_only(stream: DataFrame, *, max_age_s: int = C.MAX_POSITION_AGE_S, as_of=None) -> DataFrame:
@@ -53,7 +54,30 @@ def hourly_metrics(stream: DataFrame, *, late_by: str = "10 minutes") -> DataFra
     )
 
 
-def alert_stream(stream: DataFrame, *, as_of=None) -> DataFrame:
-    """Alerts for the positions of a stream that break their contract."""
-    return alerts(stream, vehicle_rules(as_of), entity_type="vehicle_position",
-                  entity_id="vehicle_id", as_of=as_of)
+def alert_stream(stream: DataFrame, *, kind: str = "vehicle_position", as_of=None) -> DataFrame:
+    """Alerts for the records of a stream that break their contract: positions, trip updates or weather observations."""
+    rules, entity_id = {
+        "vehicle_position": (lambda: vehicle_rules(as_of), "vehicle_id"),
+        "trip_update": (trip_update_rules, "trip_id"),
+        "weather_observation": (lambda: weather_rules(as_of), "agency_id"),
+    }[kind]
+    return alerts(stream, rules(), entity_type=kind, entity_id=entity_id, as_of=as_of)
+
+
+def with_weather(positions: DataFrame, observations: DataFrame, *, max_age_s: int = C.MAX_WEATHER_AGE_S,
+                 late_by: str = "10 minutes", weather_late_by: str = "2 hours") -> DataFrame:
+    """Each position with its agency's latest observation, as an append-mode join of two streams.
+
+    Both sides keep state: an observation that comes after the positions it belongs to, by up to
+    ``weather_late_by``, still counts. A position is emitted once the watermark has passed it, with
+    the greatest of the observations at the latest instant, or without one. Records equal in all
+    columns are one; a position without a time is never emitted.
+    """
+    seen = F.struct("observation_time", *WEATHER_VALUES)
+    left = positions.withWatermark("timestamp", late_by).select("timestamp", F.struct(*positions.columns).alias("_row"))
+    right = observations.where(F.col("agency_id").isNotNull()).withWatermark("observation_time", weather_late_by).select(
+        "observation_time", F.col("agency_id").alias("_agency"), seen.alias("_seen"))
+    in_reach = (F.col("_row.agency_id") == F.col("_agency")) & (F.col("observation_time") <= F.col("timestamp")) & (
+        F.col("observation_time") >= F.col("timestamp") - F.expr(f"INTERVAL {int(max_age_s)} SECONDS"))
+    latest = left.join(right, in_reach, "left_outer").groupBy("timestamp", "_row").agg(F.max("_seen").alias("_last"))
+    return latest.select("_row.*", "_last.*").withColumn("is_severe", is_severe(F.col("weather_condition")))

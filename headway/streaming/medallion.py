@@ -8,16 +8,24 @@ and used again when the batch is replayed.
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from headway import contracts as C
 from headway.functions.times import moment
 from headway.operators.flatten import flatten_trip_updates, flatten_vehicles
-from headway.operators.validate import alerts, any_broken, keep_valid, trip_update_rules, vehicle_rules, weather_rules
+from headway.operators.validate import (
+    agency_bounds_rules, alerts, any_broken, keep_valid, trip_update_rules, vehicle_rules, weather_rules, with_agency_bounds,
+)
 from headway.operators.weather import weather_correlate
+from headway.session import observed
+from headway.sources.feed import dead_letters, readable
 from headway.sources.tables import Layers
+from headway.sources.topics import alert_messages, trip_update_messages, vehicle_messages, weather_messages
 
 POLL_INTERVAL = "30 seconds"
 WEATHER_INTERVAL = "300 seconds"
@@ -29,47 +37,114 @@ def _schedule(writer, interval: str, available_now: bool):
 
 
 class MedallionWriter:
-    """``foreachBatch`` function over feed messages."""
+    """``foreachBatch`` function over feed messages.
 
-    def __init__(self, layers: Layers, *, agency_id: str, as_of=None, gold_every: int = GOLD_EVERY):
+    ``publish(messages, batch_id)`` is given the batch's messages for the topics, see `deliver`. ``agencies`` is a
+    table of service areas, or a function of the batch that returns it: positions outside their agency's area raise
+    alerts and do not reach silver. ``history`` keeps every new (vehicle, time) instead of a vehicle's first batch.
+    """
+
+    def __init__(self, layers: Layers, *, agency_id, as_of=None, gold_every: int = GOLD_EVERY, publish=None,
+                 agencies=None, history: bool = False):
         self.layers = layers
         self.agency_id = agency_id
         self.as_of = as_of
         self.gold_every = gold_every
+        self.publish = publish
+        self.agencies = agencies
+        self.history = history
 
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
+        layers = self.layers
+        as_of = batch_time(layers, batch_id, self.as_of)
+        rules = vehicle_rules(as_of)
+        bad = F.coalesce(any_broken(rules), F.lit(True))
         messages.persist()
         try:
-            self.layers.store_bronze("bronze.vehicle_positions",
-                                     flatten_vehicles(messages, agency_id=self.agency_id), batch_id)
-            self.layers.store_bronze("bronze.trip_updates",
-                                     flatten_trip_updates(messages, agency_id=self.agency_id), batch_id)
+            if "unreadable" in messages.columns:
+                layers.write_batch("bronze.dead_letters", dead_letters(messages), batch_id)
+                messages = readable(messages)
+            counts, _ = together(
+                lambda: layers.store_bronze(
+                    "bronze.vehicle_positions", flatten_vehicles(messages, agency_id=self.agency_id), batch_id,
+                    measures={"valid_rows": F.count_if(~bad), "invalid_rows": F.count_if(bad)}),
+                lambda: layers.store_bronze(
+                    "bronze.trip_updates", flatten_trip_updates(messages, agency_id=self.agency_id), batch_id))
         finally:
             messages.unpersist()
-        self.settle(batch_id)
+        self.settle(batch_id, as_of, counts)
 
-    def settle(self, batch_id: int) -> None:
-        """Alerts, silver, counters and, every n-th batch, gold, all from the stored bronze batch."""
+    def settle(self, batch_id: int, as_of=None, counts: dict | None = None) -> None:
+        """Alerts, silver, partial sums, messages, counters and, every n-th batch, gold, from the stored bronze batch.
+
+        ``counts`` are what the bronze write observed; a batch that was stored before is counted here.
+        """
         layers = self.layers
-        as_of = batch_time(layers, batch_id, self.as_of)
+        as_of = batch_time(layers, batch_id, self.as_of) if as_of is None else as_of
         rules, update_rules = vehicle_rules(as_of), trip_update_rules()
         rows = layers.batch("bronze.vehicle_positions", batch_id)
         updates = layers.batch("bronze.trip_updates", batch_id)
-        layers.write_batch(
-            "bronze.quality_alerts",
-            alerts(rows, rules, entity_type="vehicle_position", entity_id="vehicle_id", as_of=as_of).unionByName(
-                alerts(updates, update_rules, entity_type="trip_update", entity_id="trip_id",
-                       as_of=F.col("timestamp") if as_of == "feed" else as_of)),
-            batch_id,
-        )
-        layers.promote(keep_valid(rows, rules), batch_id, as_of=as_of)
-        layers.write_batch("silver.trip_updates", keep_valid(updates, update_rules), batch_id)
-        layers.write_batch("gold.feed_progress", batch_progress(layers, rules, batch_id).withColumn(
+        if counts is None:
+            bad = F.coalesce(any_broken(rules), F.lit(True))
+            counts = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~bad).alias("valid_rows"),
+                              F.count_if(bad).alias("invalid_rows")).first()
+        if self.agencies is not None:
+            agencies = self.agencies(batch_id) if callable(self.agencies) else self.agencies
+            rows, rules = with_agency_bounds(rows, agencies), rules + agency_bounds_rules()
+        found = alerts(rows, rules, entity_type="vehicle_position", entity_id="vehicle_id", as_of=as_of).unionByName(
+            alerts(updates, update_rules, entity_type="trip_update", entity_id="trip_id",
+                   as_of=F.col("timestamp") if as_of == "feed" else as_of))
+        valid, fit_updates = keep_valid(rows, rules), keep_valid(updates, update_rules)
+
+        def positions_on() -> int:
+            count = layers.promote(valid, batch_id, as_of=as_of, history=self.history)
+            layers.add_partials("gold.hourly_partials", batch_id)
+            return count
+
+        def updates_on() -> None:
+            layers.write_batch("silver.trip_updates", fit_updates, batch_id)
+            layers.add_partials("gold.route_partials", batch_id)
+
+        _, promoted, _ = together(
+            lambda: layers.write_batch("bronze.quality_alerts", found, batch_id), positions_on, updates_on)
+        if self.publish is not None:
+            positions = valid.select(*C.column_names(C.VEHICLE_POSITION))
+            outgoing = vehicle_messages(positions).unionByName(
+                trip_update_messages(fit_updates.select(*C.column_names(C.TRIP_UPDATE)))).unionByName(
+                alert_messages(layers.batch("bronze.quality_alerts", batch_id)))
+            layers.write_batch("silver.outbox", outgoing, batch_id)
+            deliver(layers, batch_id, self.publish)
+        # the counters come last but gold: with them the batch is known to be settled
+        progress_row = layers.spark.createDataFrame(
+            [(counts["rows"], counts["valid_rows"], counts["invalid_rows"], promoted)],
+            "processed_rows BIGINT, valid_rows BIGINT, invalid_rows BIGINT, silver_rows BIGINT")
+        layers.write_batch("gold.feed_progress", progress_row.withColumn(
             "as_of", F.lit(None).cast("timestamp") if as_of == "feed" else moment(as_of)), batch_id)
         if (batch_id + 1) % self.gold_every == 0:
             since = batch_id + 1 - self.gold_every
-            layers.refresh_hourly(since)
-            layers.refresh_route_performance(since)
+            together(lambda: layers.refresh_hourly(since), lambda: layers.refresh_route_performance(since))
+
+
+def together(*steps) -> list:
+    """Run steps that write different tables side by side, as each alone leaves most of a cluster idle; their results."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
+def deliver(layers: Layers, batch_id: int, publish, *, box: str = "outbox", done: str = "deliveries") -> bool:
+    """Hand a batch's stored messages to ``publish(messages, batch_id)`` unless that has succeeded before.
+
+    A delivery is noted after ``publish`` returns. A failure in between hands the same batch over again, under the same
+    number, so a function that replaces what it has of a number (as `to_folder` does) delivers each batch once.
+    """
+    if layers.with_partitions(f"silver.{done}").where(F.col("batch_id") == batch_id).limit(1).count():
+        return False
+    messages = layers.batch(f"silver.{box}", batch_id)
+    seen = Observation(f"delivery {uuid.uuid4().hex}")
+    publish(messages.observe(seen, F.count(F.lit(1)).alias("n")), batch_id)
+    note = layers.spark.createDataFrame([(observed(seen, "n")["n"],)], "messages BIGINT")
+    layers.write_batch(f"silver.{done}", note.withColumn("delivered_at", F.current_timestamp()), batch_id)
+    return True
 
 
 def batch_time(layers: Layers, batch_id: int, as_of=None):
@@ -83,17 +158,6 @@ def batch_time(layers: Layers, batch_id: int, as_of=None):
     return as_of or datetime.now(timezone.utc)
 
 
-def batch_progress(layers: Layers, rules, batch_id: int) -> DataFrame:
-    """Counters of one stored batch, as one row."""
-    bad = F.coalesce(any_broken(rules), F.lit(True))
-    promoted = layers.batch("silver.vehicle_positions", batch_id).agg(F.count(F.lit(1)).alias("n"))
-    return layers.batch("bronze.vehicle_positions", batch_id).agg(
-        F.count(F.lit(1)).alias("processed_rows"),
-        F.count_if(~bad).alias("valid_rows"),
-        F.count_if(bad).alias("invalid_rows"),
-    ).select("*", promoted.scalar().alias("silver_rows"))
-
-
 def progress(layers: Layers) -> DataFrame:
     """Totals over all batches so far."""
     return layers.with_partitions("gold.feed_progress").agg(
@@ -105,10 +169,10 @@ def progress(layers: Layers) -> DataFrame:
 
 def start_medallion(messages: DataFrame, layers: Layers, *, checkpoint: str, agency_id: str, as_of=None,
                     gold_every: int = GOLD_EVERY, interval: str = POLL_INTERVAL,
-                    available_now: bool = False):
-    """Start the continuous run over a stream of feed messages; returns the streaming query."""
+                    available_now: bool = False, **options):
+    """Start the continuous run over a stream of feed messages; returns the streaming query. Options: `MedallionWriter`."""
     writer = messages.writeStream.foreachBatch(
-        MedallionWriter(layers, agency_id=agency_id, as_of=as_of, gold_every=gold_every)
+        MedallionWriter(layers, agency_id=agency_id, as_of=as_of, gold_every=gold_every, **options)
     ).option("checkpointLocation", checkpoint)
     return _schedule(writer, interval, available_now).start()
 
@@ -125,19 +189,27 @@ def start_first_seen(positions: DataFrame, layers: Layers, *, checkpoint: str, a
     return _schedule(writer, interval, available_now).start()
 
 
-def start_weather(observations: DataFrame, layers: Layers, *, checkpoint: str,
+def start_weather(observations: DataFrame, layers: Layers, *, checkpoint: str, publish=None,
                   interval: str = WEATHER_INTERVAL, available_now: bool = False):
     """Keep the weather tables up to date from a stream of observations.
 
     Bronze takes all rows, silver those that pass the contract. Age is no reason to refuse one here: the as-of join
-    looks at it, against the time of each row.
+    looks at it, against the time of each row. Rows that fail raise alerts; rows that pass and alerts go to ``publish``.
     """
     rules = weather_rules(F.col("observation_time"))
 
     def store(rows: DataFrame, batch_id: int) -> None:
         layers.store_bronze("bronze.weather_observations", rows, batch_id)
-        kept = keep_valid(layers.batch("bronze.weather_observations", batch_id), rules)
-        layers.write_batch("silver.weather_observations", kept, batch_id)
+        stored = layers.batch("bronze.weather_observations", batch_id)
+        layers.write_batch("bronze.weather_alerts", alerts(
+            stored, rules, entity_type="weather_observation", entity_id="agency_id",
+            as_of=F.coalesce("observation_time", "ingestion_timestamp")), batch_id)
+        layers.write_batch("silver.weather_observations", keep_valid(stored, rules), batch_id)
+        if publish is not None:
+            kept = layers.batch("silver.weather_observations", batch_id).select(*C.column_names(C.WEATHER_OBSERVATION))
+            layers.write_batch("silver.weather_outbox", weather_messages(kept).unionByName(
+                alert_messages(layers.batch("bronze.weather_alerts", batch_id))), batch_id)
+            deliver(layers, batch_id, publish, box="weather_outbox", done="weather_deliveries")
 
     writer = observations.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _schedule(writer, interval, available_now).start()
