@@ -157,7 +157,8 @@ def _(t):
 WITH checked AS (SELECT *, {bad_sql(VEHICLE_RULES_FEED_SQL)} AS bad FROM flat_vehicles),
 updates AS (SELECT *, {bad_sql(UPDATE_RULES_SQL)} AS bad FROM flat_updates),
 observed AS (SELECT *, {bad_sql([r for r in WEATHER_RULES_SQL if r[0] != 'observation_stale'])} AS bad FROM weather)
-SELECT CASE WHEN bad THEN 'transit.quality.alerts' ELSE topic END AS topic, key, strftime(moment, '%Y-%m-%dT%H:%M:%SZ') AS sent_at FROM (
+SELECT CASE WHEN bad THEN 'transit.quality.alerts' ELSE topic END AS topic, key,
+  CASE WHEN epoch_us(moment) % 1000000 = 0 THEN strftime(moment, '%Y-%m-%dT%H:%M:%SZ') ELSE strftime(moment, '%Y-%m-%dT%H:%M:%S.%fZ') END AS sent_at FROM (
   SELECT bad, 'transit.vehicle.positions' AS topic, vehicle_id AS key, CASE WHEN bad THEN feed_timestamp ELSE timestamp END AS moment FROM checked
   UNION ALL SELECT bad, 'transit.trip.updates', trip_id, timestamp FROM updates
   UNION ALL SELECT bad, 'transit.weather.observations', agency_id, observation_time FROM observed)""")
@@ -197,8 +198,9 @@ def _(t):
         agency_id="city", as_of="feed", available_now=True).awaitTermination()
     stats = feed_stats(scan_feed(t.spark, path, file_format="json", keep_unreadable=True), agency_id="city", as_of="feed")
     rows = tables.table("bronze.vehicle_positions").agg(F.count(F.lit(1)).alias("bronze_rows"))
-    return tables.table("bronze.dead_letters").select("message").join(stats.select("total_polls", "successful_polls")).select(
-        "*", rows.scalar().alias("bronze_rows"))
+    return tables.table("bronze.dead_letters").select(
+        "message", *[stats.select(c).scalar().alias(c) for c in ("total_polls", "successful_polls")],
+        rows.scalar().alias("bronze_rows"))
 
 
 def update_stream(t):

@@ -9,7 +9,9 @@ from headway.operators.medallion import silver_filter
 from headway.operators.skew import salted_join
 
 SF_DIR = "/root/testdata/sf0.001"
-BATCH = sorted(n for n in entry.queries() if not n.startswith("stream_"))
+# these run streams first
+STREAMS = ("stream_", "compact_layers", "dead_letters")
+BATCH = sorted(n for n in entry.queries() if not n.startswith(STREAMS))
 
 
 def plan_of(df) -> str:
