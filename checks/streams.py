@@ -67,10 +67,14 @@ RUNS = {}
 
 
 def finished_run(t):
-    """The tables of one run over all messages with gold every four batches, made once for the queries that only read them."""
+    """Tables and published messages of one run over all messages, gold every four batches.
+
+    Made once in an application for the queries that read what a run leaves; a replay leaves it as it was.
+    """
     key = (t.spark.sparkContext.applicationId, t.dir)
     if key not in RUNS:
-        RUNS[key] = run_medallion(t, gold_every=4)
+        sent = t.scratch("published")
+        RUNS[key] = run_medallion(t, gold_every=4, publish=topics.to_folder(sent)), sent
     return RUNS[key]
 
 
@@ -110,13 +114,13 @@ SELECT CAST({PARTS} AS BIGINT) AS batches, COUNT(*) AS processed_rows,
   (SELECT COUNT(*) FROM ({FIRST_SQL})) AS silver_rows FROM flat_vehicles""")
 def _(t):
     """Counters that the writes of twelve batches observed."""
-    return medallion.progress(finished_run(t))
+    return medallion.progress(finished_run(t)[0])
 
 
 @query("stream_medallion_gold", GOLD_TABLE_SQL.format(f"({FIRST_SQL})"))
 def _(t):
     """Twelve batches merged into gold, four at a time; their borders cut hours."""
-    return rounded_gold(finished_run(t).table("gold.hourly_vehicle_metrics"))
+    return rounded_gold(finished_run(t)[0].table("gold.hourly_vehicle_metrics"))
 
 
 @query("stream_route_gold", f"""
@@ -127,7 +131,7 @@ SELECT CAST(CAST(timestamp AS DATE) AS VARCHAR) AS date, agency_id, route_id, {r
 FROM flat_updates WHERE NOT {bad_sql(UPDATE_RULES_SQL)} AND route_id IS NOT NULL GROUP BY 1, 2, 3""")
 def _(t):
     """Delays of the days, merged from the partial sums of twelve batches."""
-    gold = finished_run(t).table("gold.route_performance").withColumn("date", F.col("date").cast("string"))
+    gold = finished_run(t)[0].table("gold.route_performance").withColumn("date", F.col("date").cast("string"))
     return gold.withColumns({c: rounded(F.col(c)) for c in ("avg_delay_seconds", "on_time_percentage")})
 
 
@@ -164,8 +168,8 @@ SELECT CASE WHEN bad THEN 'transit.quality.alerts' ELSE topic END AS topic, key,
   UNION ALL SELECT bad, 'transit.weather.observations', agency_id, observation_time FROM observed)""")
 def _(t):
     """Valid records and alerts of every batch in one folder per batch; a replayed batch is not handed over again."""
-    feed, weather = t.scratch("published"), t.scratch("published")
-    tables = run_medallion(t, publish=topics.to_folder(feed))
+    weather = t.scratch("published")
+    tables, feed = finished_run(t)
     path = stored(t, [as_observations(t.weather)], "weather")
     observations = t.spark.readStream.schema(C.WEATHER_OBSERVATION).parquet(path)
     medallion.start_weather(observations, tables, checkpoint=t.scratch("checkpoint"), publish=topics.to_folder(weather),
