@@ -173,6 +173,7 @@ def model(rank_file: bytes, pattern: str) -> Bpe:
 def byte_bpe(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str] | None = None, ids: bool = False) -> DataFrame:
     """Append n_tokens, ids_sha256 and decoded_sha256 to the kept columns, and the ids themselves on request.
 
+    They take the place of input columns with the same names, in any case of letters.
     The rank file is read on the driver, so executors need no copy of it.
     """
     with open(ranks_path, "rb") as f:
@@ -192,4 +193,5 @@ def byte_bpe(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str] | N
         return run
 
     columns = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"} | ({"ids": "array<bigint>"} if ids else {})
-    return add_columns(docs, make, columns, keep=keep)
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in columns]
+    return add_columns(docs, make, columns, keep=kept)

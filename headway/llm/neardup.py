@@ -203,7 +203,14 @@ def _with_minima(sets: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents of the smallest id of each group; a repeated row stays once, a row without an id stays."""
-    kept = near_duplicates(docs, width, percent).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.join(kept, named.doc_id == F.col("__kept"), "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    """The documents of the smallest id of each group.
+
+    A row that repeats id and text stays once, a row without an id stays. Groups are made of ids, so different texts
+    under one id all stay: none of them can be named as the copy.
+    """
+    named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
+    kept = near_duplicates(docs, width, percent).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept"))
+    texts = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__kept")).agg(
+        (F.min(F.xxhash64("text")) != F.max(F.xxhash64("text"))).alias("several"))
+    ids = kept.unionByName(texts.where("several").select("__kept"))
+    return named.join(ids, named.doc_id == F.col("__kept"), "left_semi").unionByName(docs.where("doc_id IS NULL"))

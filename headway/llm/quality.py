@@ -25,10 +25,12 @@ MAX_REPEAT_PERCENT = 50
 #: Least percentage of the characters of the lines that has to be left after the failing lines are gone.
 MIN_LEFT_PERCENT = 50
 
-#: How a sentence ends: a mark, closing quotes or brackets, white space. Looked for in a line's last characters.
-ENDS, LAST = r"""[.!?:;…。！？]["'”’»)\]]*[\x20\x09-\x0D]*$""", 8
-#: A line with three of these separators is navigation.
-SEPARATORS, MENU_SEPARATORS = "|»›•·", 3
+#: How a sentence ends: one of the marks, then any closing quotes, brackets and white space.
+END_MARKS, CLOSERS = ".!?:;…。！？", "\"'”’»)]\x20\x09\x0a\x0b\x0c\x0d"
+#: A line with three of these separators, and one for every six words at least, is navigation.
+SEPARATORS, MENU_SEPARATORS, MENU_WORDS = "|»›•·", 3, 6
+#: Quotation marks: a separator that has its counterpart in the line is none.
+COUNTERPARTS = {"»": "«", "›": "‹"}
 # Phrases of boilerplate lines, lower case.
 BOILERPLATE = (
     "all rights reserved", "licensed under", "terms of use", "terms of service", "privacy policy", "cookie policy",
@@ -51,14 +53,18 @@ def symbols(text: Column) -> Column:
 def line_ok(line: Column, any_symbols: Column) -> Column:
     """The rules for one line; ``any_symbols`` says if the document has a symbol at all."""
     lower = F.lower(line)
-    boilerplate, separated = F.lit(False), F.lit(False)
+    lower = F.lower(line)
+    count = lambda mark: F.length(line) - F.length(F.replace(line, F.lit(mark), F.lit("")))
+    boilerplate, separated, separators = F.lit(False), F.lit(False), F.lit(0)
     for mark in SEPARATORS:
         separated = separated | line.contains(mark)
-    menu = separated & (F.size(F.split(line, "[" + SEPARATORS + "]")) > MENU_SEPARATORS)
+        quotes = count(COUNTERPARTS[mark]) if mark in COUNTERPARTS else F.lit(0)
+        separators = separators + F.greatest(count(mark) - quotes, F.lit(0))
+    menu = separated & (separators >= MENU_SEPARATORS) & (separators * MENU_WORDS >= F.size(words(line)))
     for phrase in BOILERPLATE:
         boilerplate = boilerplate | lower.contains(phrase)
     return (
-        F.substring(line, -LAST, LAST).rlike(ENDS)
+        F.substring(F.rtrim(line, F.lit(CLOSERS)), -1, 1).isin(*END_MARKS)
         & ~(any_symbols & (symbols(line) * 100 > F.length(line) * MAX_SYMBOL_PERCENT))
         & ~menu & ~(line.contains("!!") & (line == F.upper(line))) & ~boilerplate
     )

@@ -133,6 +133,9 @@ def _op10_sql() -> str:
 
     literal = lambda x: "'" + x.replace("'", "''") + "'"
     boilerplate = " OR ".join(f"contains(lower(x), {literal(p)})" for p in q.BOILERPLATE)
+    ends = ", ".join(map(literal, q.END_MARKS))
+    count = lambda m: f"(length(x) - length(replace(x, {literal(m)}, '')))"
+    separators = " + ".join(f"greatest({count(m)} - {count(q.COUNTERPARTS[m]) if m in q.COUNTERPARTS else 0}, 0)" for m in q.SEPARATORS)
     symbols = lambda x: f"(length({x}) - length(regexp_replace({x}, '[{q.SYMBOLS}]', '', 'g')))"
     return f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -150,9 +153,9 @@ measured AS (
   SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, {symbols("t")} AS n_symbols,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines,
     length(array_to_string(lines, '')) AS all_chars,
-    list_filter(lines, lambda x: regexp_matches(right(x, {q.LAST}), {literal(q.ENDS)})
+    list_filter(lines, lambda x: right(rtrim(x, {literal(q.CLOSERS)}), 1) IN ({ends})
       AND NOT {symbols("x")} * 100 > length(x) * {q.MAX_SYMBOL_PERCENT}
-      AND NOT length(x) - length(regexp_replace(x, '[{q.SEPARATORS}]', '', 'g')) >= {q.MENU_SEPARATORS}
+      AND NOT ({separators} >= {q.MENU_SEPARATORS} AND ({separators}) * {q.MENU_WORDS} >= len({_WORDS.format("x").replace("lambda x: x", "lambda y: y")}))
       AND NOT (contains(x, '!!') AND x = upper(x)) AND NOT ({boilerplate})) AS good
   FROM parts LEFT JOIN covered USING (doc_id)),
 judged AS (

@@ -13,7 +13,7 @@ before a match and of the matches before it give its start in code points.
 Defined results: a null text counts as empty; without samples both models are
 uniform and nothing is added to the pattern matches; spans of the models never
 overlap those of the patterns; repeated rows are judged alike; other columns of
-the input are not read.
+the input are not read; a token may have any number of parts and any length.
 """
 
 from __future__ import annotations
@@ -31,7 +31,8 @@ KINDS = (
 MODEL_KIND = "markov"
 #: Tokens that the models judge: parts with single separators between them; shorter ones than LEAST cannot reach the limits.
 LEAST, SEPARATORS = 8, ".:~"
-CANDIDATE = rf"(?=[A-Za-z0-9+/_=.:~-]{{{LEAST}}})[A-Za-z0-9+/_=-]+(?:[.:~][A-Za-z0-9+/_=-]+)*"
+# Possessive, as nothing follows the parts: the same matches without a stack that grows with their number.
+CANDIDATE = rf"(?=[A-Za-z0-9+/_=.:~-]{{{LEAST}}})[A-Za-z0-9+/_=-]++(?:[.:~][A-Za-z0-9+/_=-]++)*+"
 #: Texts that the identifier model is trained on, at most: a sample by hash, each text once.
 FIT_TEXTS = 2_000
 #: Words of a text that count as an identifier.
@@ -72,11 +73,20 @@ def _spans(text: Column, place: int, name: str, pattern: str, group: int, least:
 _SPANS = "array<struct<start:int,place:int,stop:int,kind:string,value:string>>"
 
 
+def _chunks(v: Column) -> Column:
+    """Pieces of at most 65 characters that overlap in one, so that each pair of neighbours is in one piece.
+
+    The place of a character is found by counting from the start, which would take quadratic time in a long value.
+    """
+    return F.when(F.length(v) <= 65, F.array(v)).otherwise(F.regexp_extract_all(v, F.lit(r"(?s)(?=(.{2,65})).{1,64}"), F.lit(1)))
+
+
 def _pairs(values: DataFrame) -> DataFrame:
     """How often one printable ASCII character follows another: (pair, n), the pair as one number."""
     code = lambda v, i: F.ascii(F.substring(v, i, 1)) - _LOW
     pairs = F.transform(F.sequence(F.lit(1), F.length("value") - 1), lambda i: code(F.col("value"), i) * _SIGNS + code(F.col("value"), i + 1))
-    return values.where(F.length("value") >= 2).select(F.explode(pairs).alias("pair")).where(
+    chunks = values.where(F.length("value") >= 2).select(F.explode(_chunks(F.col("value"))).alias("value"))
+    return chunks.select(F.explode(pairs).alias("pair")).where(
         (F.col("pair") >= 0) & (F.col("pair") < _SIGNS * _SIGNS)).groupBy("pair").count()
 
 
@@ -124,8 +134,8 @@ def _judged_tokens(text: Column, ratios: list[float]) -> Column:
     code = lambda v, i: F.ascii(F.substring(v, i, 1)) - _LOW
 
     def secret(v: Column) -> Column:
-        total = F.aggregate(F.sequence(F.lit(1), F.length(v) - 1), F.lit(0.0),
-                            lambda acc, i: acc + F.get(table, code(v, i) * _SIGNS + code(v, i + 1)))
+        total = F.aggregate(_chunks(v), F.lit(0.0), lambda sum_, c: F.aggregate(
+            F.sequence(F.lit(1), F.length(c) - 1), sum_, lambda acc, i: acc + F.get(table, code(c, i) * _SIGNS + code(c, i + 1))))
         # a separator takes two transitions out
         scored = F.length(v) - 1 - 2 * (F.length(v) - F.length(F.translate(v, SEPARATORS, "")))
         return F.when(F.length(v) >= LEAST, total > F.greatest(F.lit(MIN_TOTAL), scored * MIN_RATIO)).otherwise(False)

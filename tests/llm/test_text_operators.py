@@ -40,6 +40,30 @@ def test_quality_verdicts(docs):
     assert quality.cleaned(docs.limit(0)).count() == 0
 
 
+def _verdicts(spark, texts):
+    """Good lines of each text by the operator and by the statement."""
+    from headway.llm import queries
+    from tests.oracle import compare, connect
+
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    duck = connect(SF)
+    got = quality.quality_rules(frame)
+    duck.register("lines_given", frame.toPandas())
+    duck.execute("CREATE OR REPLACE TEMP VIEW documents AS SELECT * FROM lines_given")
+    assert compare(got, duck, queries.ORACLES["op10_quality_rules"]) == []
+    return {r["doc_id"]: r["n_good_lines"] for r in got.collect()}
+
+
+def test_lines_end_where_their_text_ends(spark):
+    clean = [f"Line {i} says something plain about the town and its {i} streets." for i in range(20)]
+    french = [f"Il a dit «oui», puis «non» et enfin «peut-être» quand on lui a posé la question numéro {i}." for i in range(20)]
+    menu = [f"Home » News {i} » Sport » About us." for i in range(20)]
+    long_line = ["One · two · three · four are the parts of this long line, " + "which goes on and on about each of them " * 3 + "to its end."]
+    texts = ["\n".join(x) for x in (clean, [c + " " * 9 for c in clean], [c + "\t\r" for c in clean], [c + "”" * 9 for c in clean], french, menu, long_line,
+                                   ["no end", "»»»", "..."], [""], [c[:-1] + "»" for c in clean])]
+    assert _verdicts(spark, texts) == {0: 20, 1: 20, 2: 20, 3: 20, 4: 20, 5: 0, 6: 1, 7: 1, 8: 0, 9: 0}
+
+
 def test_near_duplicates(docs, real):
     for width, percent in ((3, 85), (5, 80)):
         for table in (docs, real):
@@ -56,6 +80,15 @@ def test_deduplicated_keeps_one(docs):
     assert neardup.near_duplicates(docs.limit(0), 3, 85).count() == 0
 
 
+def test_different_texts_under_one_id_all_stay(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(7, text(1)), (7, text(2)), (7, text(2)), (9, text(2)), (3, text(1)), (8, text(3)), (7, None)]
+    out = neardup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted(((r["doc_id"], r["text"] or "") for r in out.collect()))
+    # every text of 7 stays, 3 is the smallest of its group, 9 is a copy
+    assert got == sorted([(3, text(1)), (7, ""), (7, text(1)), (7, text(2)), (8, text(3))])
+
+
 def test_large_group_without_all_pairs(spark):
     """A bucket of many near copies that differ from each other in one word."""
     base = [f"w{i}" for i in range(200)]
@@ -106,6 +139,27 @@ def test_short_digitless_and_parted_secrets(spark, real):
     assert sum(other) <= 0.01 * len(other)
 
 
+def test_secrets_in_texts_of_very_many_parts(spark):
+    """Tokens of tens of thousands of parts and of a hundred thousand characters; a repeated group must not fill the stack."""
+    rng = random.Random(5)
+    drawn = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(100_000))
+    texts = ["ab:" * 3_000, "ab:" * 70_000, "a.b. " * 30_000, "0f " * 30_000, drawn, "password" * 30_000, "token=" + "a=" * 30_000, "AKIA" * 30_000]
+    frame = spark.createDataFrame([*((i, t) for i, t in enumerate(texts)), (99, "password=Xy12ab34")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in secret_scan.secret_scan(frame).collect()}
+    assert len(rows) == 9 and rows[99]["spans"] == "assign:0:17"
+    assert rows[6]["spans"] == f"assign:0:{len(texts[6])}" and rows[7]["spans"] == f"access:0:{len(texts[7])}"
+    assert all(rows[i]["n_assign"] == rows[i]["n_access"] == rows[i]["n_hex"] == 0 for i in range(6) if i != 4)
+
+
+def test_candidates_are_those_of_the_greedy_pattern(spark):
+    greedy = secret_scan.CANDIDATE.replace("++", "+").replace("*+", "*")
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("ab1_.:~ -é") for _ in range(rng.randint(0, 60))) for _ in range(500)]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", f"regexp_extract_all(t, r'{secret_scan.CANDIDATE}', 0) AS found").collect()
+    assert greedy != secret_scan.CANDIDATE
+    assert all(r["found"] == [m[0] for m in re.finditer(greedy, r["t"], re.ASCII)] for r in found)
+
+
 def test_language(docs, real):
     rows = {r["doc_id"]: r for r in langid.language_id(real).collect()}
     lang = {r["doc_id"]: r["lang"] for r in real.collect()}
@@ -167,6 +221,31 @@ def test_article_keeps_its_links_and_marked_sections():
         assert page_text.main_text(f"<body>{menu}{page}</body>", None) == expected
 
 
+def test_comments_and_notices_inside_an_article_go():
+    gone = ("<section class='comments'><p>gone</section>", "<div id='comments' class='comments-area'>gone</div>", "<section id=comments>gone</section>",
+            "<div class='cookie-notice'>gone</div>", "<div class='ad-banner'>gone</div>", "<div id='sidebar'>gone</div>", "<div class='sidebar-widget'>gone</div>",
+            "<section class='related-posts'>gone</section>", "<div id='respond'>gone</div>", "<div class='share-buttons'>gone</div>", "<div class='site-footer'>gone</div>")
+    for part in gone:
+        for page in ("<article><p>one</p>{}<p>two</p></article>", "<main>one{}<p>two</p></main>", "<div class='content'><p>one</p>{}<p>two</p></div>"):
+            assert page_text.main_text(page.format(part), None) == "one two", part
+    for kept in ("<h2 id='comments'>kept</h2>", "<section id='related-work'>kept</section>", "<div class='no-sidebar'>kept</div>", "<section id='discussion'>kept</section>"):
+        assert page_text.main_text(f"<article><p>one</p>{kept}<p>two</p></article>", None) == "one kept two", kept
+
+
+def test_pages_with_long_lower_case_and_broken_markup():
+    page = "<article><p>Visit İstanbul</p><SCRIPT>x()</Script><p>rest</p></article><p>more"
+    assert page_text.main_text(page, None) == "Visit İstanbul rest"
+    import time
+
+    start = time.process_time()
+    for n in (0, 3):
+        assert page_text.main_text("<article><p>one</p></article>" * n + "<a 'x " * 150_000, None).startswith("one" if n else "<a 'x")
+    assert page_text.main_text("<div><b>" * 100_000 + "deep" + "</i>" * 100_000, None) == "deep"
+    assert page_text.main_text("<p>a</p>b <!-- open", None) == "a b" and page_text.main_text("<p>a</p>b <! open", None) == "a b"
+    # linear: far below the minutes that a search from every sign to the end would take
+    assert time.process_time() - start < 20
+
+
 def test_common_lines():
     assert page_text.shared_lines([1, 2, 3, 4, 5], [9, 2, 4, 7, 5]) == [1, 3, 4]
 
@@ -188,6 +267,16 @@ def test_bpe(docs, real):
         assert np.frombuffer(ours.encode(text), "<u4").tolist() == theirs.encode_ordinary(text)
 
 
+def test_bpe_columns_take_the_place_of_equal_names(docs):
+    import public_tokenizers
+
+    where = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    clash = docs.select("*").selectExpr("*", "'old' AS N_tokens", "'old' AS ids", "'old' AS ids_sha256")
+    out = bpe.byte_bpe(clash, *where, ids=True)
+    assert out.columns == [*docs.columns, "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    assert all(r["n_tokens"] == len(r["ids"]) for r in out.collect())
+
+
 def test_toxicity(spark, docs):
     """Held-out rows of a small corpus in which two words are toxic."""
     rng = random.Random(1)
