@@ -18,6 +18,10 @@ the input are not read; a token may have any number of parts and any length.
 
 from __future__ import annotations
 
+import math
+import re
+import string
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +47,7 @@ MIN_RATIO = 0.7
 MIN_TOTAL = 19 * MIN_RATIO
 MASK = "[SECRET]"
 _LOW, _SIGNS = 32, 96
+_BLOCK = 32
 
 
 def _matches(text: Column, pattern: str) -> tuple[Column, Column]:
@@ -50,14 +55,39 @@ def _matches(text: Column, pattern: str) -> tuple[Column, Column]:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _running(values: Column, levels: int = 3) -> Column:
+    """Running totals. Blocks are totalled alone and moved by the running totals of the blocks, so that the work stays
+    in proportion to the values; one growing array would be copied for each of them."""
+    if not levels:
+        return F.aggregate(
+            values, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"] + x)).alias("out")),
+            lambda acc: acc["out"])
+    total = lambda block: F.aggregate(block, F.lit(0), lambda a, x: a + x)
+
+    def moved(blocks: Column, ends: Column) -> Column:
+        within = lambda block, b: F.transform(
+            F.sequence(F.lit(1), F.size(block)), lambda j: F.get(ends, b) - total(block) + total(F.slice(block, F.lit(1), j)))
+        return F.flatten(F.transform(blocks, within))
+
+    def by_blocks(v: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / _BLOCK).cast("int")), lambda b: F.slice(v, b * _BLOCK + 1, F.lit(_BLOCK)))
+        return _let(blocks, lambda bs: _let(_running(F.transform(bs, total), levels - 1), lambda ends: moved(bs, ends)))
+
+    return _let(values, lambda v: F.when(F.size(v) > 0, by_blocks(v)).otherwise(F.array().cast("array<int>")))
+
+
 def _starts(found: Column, pieces: Column) -> Column:
     """The start of each match, in code points: all pieces up to it and all matches before it."""
-    sizes = F.transform(found, lambda m, i: F.length(F.get(pieces, i)) + F.when(i > 0, F.length(F.get(found, i - 1))).otherwise(0))
-    running = F.aggregate(
-        sizes, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
-        lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"] + x)).alias("out")),
-        lambda acc: acc["out"])
-    return running
+    def sizes(f: Column, p: Column) -> Column:
+        return F.transform(f, lambda m, i: F.length(F.get(p, i)) + F.when(i > 0, F.length(F.get(f, i - 1))).otherwise(0))
+
+    return _running(_let(pieces, lambda p: _let(found, lambda f: sizes(f, p))))
 
 
 def _spans(text: Column, place: int, name: str, pattern: str, group: int, least: int) -> Column:
@@ -96,8 +126,6 @@ def train(base: DataFrame) -> list[float]:
     ``base`` has the texts as ``__s_text`` and the pattern spans as ``__s_base``. At most 96 * 96 counts of
     either sample come back to the driver.
     """
-    import math
-
     secret = base.where(F.size("__s_base") > 0).select(F.explode("__s_base.value").alias("value"))
     total = base.count()
     share = 1_000_000 if total <= FIT_TEXTS else int(1_000_000 * FIT_TEXTS / total)
@@ -127,10 +155,27 @@ def _open_text(text: Column, base: Column) -> Column:
     return F.when(F.size(base) > 0, blanked).otherwise(text)
 
 
+def _unlikely_pairs(ratios: list[float]) -> str:
+    """A pattern that every token over MIN_TOTAL matches: it holds as many pairs with a positive ratio as are needed
+    where each has the largest one. It stands for most tokens' scores, which take far longer."""
+    signs = string.ascii_letters + string.digits + "+/_=-"
+    ratio = lambda a, b: ratios[(ord(a) - _LOW) * _SIGNS + ord(b) - _LOW]
+    after = {a: "".join(re.escape(b) for b in signs if ratio(a, b) > 0) for a in signs}
+    # pairs outside the list, as with a hyphen at the end, are none that a candidate can hold
+    most = max(ratio(a, b) for a in signs for b in signs)
+    if most <= 0:
+        return r"\z\A."
+    one = "|".join(f"{re.escape(a)}(?=[{b}])" for a, b in after.items() if b)
+    return rf"\A(?:(?>.*?(?:{one}))){{{math.ceil(MIN_TOTAL / most)}}}"
+
+
 def _judged_tokens(text: Column, ratios: list[float]) -> Column:
-    """Spans of candidate tokens whose ratio is high enough; ``text`` has blanks for the pattern spans."""
-    table = F.array(*map(F.lit, ratios)) if not ratios else F.lit(ratios)
-    found, pieces = _matches(text, CANDIDATE)
+    """Spans of candidate tokens whose ratio is high enough; ``text`` has blanks for the pattern spans.
+
+    Each different token of a text is judged once; places are only worked out for a text with a secret.
+    """
+    # one text that is folded into one literal: thousands of literals would be planned, and read, one by one
+    table = F.split(F.lit(" ".join(map(repr, ratios))), " ").cast("array<double>")
     code = lambda v, i: F.ascii(F.substring(v, i, 1)) - _LOW
 
     def secret(v: Column) -> Column:
@@ -140,10 +185,19 @@ def _judged_tokens(text: Column, ratios: list[float]) -> Column:
         scored = F.length(v) - 1 - 2 * (F.length(v) - F.length(F.translate(v, SEPARATORS, "")))
         return F.when(F.length(v) >= LEAST, total > F.greatest(F.lit(MIN_TOTAL), scored * MIN_RATIO)).otherwise(False)
 
-    spans = F.zip_with(found, _starts(found, pieces), lambda m, s: F.struct(
-        s.alias("start"), F.lit(len(KINDS)).alias("place"), (s + F.length(m)).alias("stop"), F.lit(MODEL_KIND).alias("kind"), m.alias("value")))
-    # places are only worked out for a text with a secret
-    return F.when(F.exists(found, secret), F.filter(spans, lambda s: secret(s["value"]))).otherwise(F.array().cast(_SPANS))
+    likely = _unlikely_pairs(ratios)
+    none = F.array().cast(_SPANS)
+
+    def spans(found: Column, judged: Column) -> Column:
+        places = F.zip_with(found, _starts(found, F.split(text, CANDIDATE, -1)), lambda m, s: F.struct(
+            s.alias("start"), F.lit(len(KINDS)).alias("place"), (s + F.length(m)).alias("stop"), F.lit(MODEL_KIND).alias("kind"), m.alias("value")))
+        return F.filter(places, lambda s: F.array_contains(judged, s["value"]))
+
+    def judged(found: Column) -> Column:
+        return F.filter(F.filter(F.array_distinct(found), lambda v: v.rlike(likely)), secret)
+
+    found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
+    return _let(found, lambda f: _let(judged(f), lambda j: F.when(F.size(j) > 0, spans(f, j)).otherwise(none)))
 
 
 def spanned(docs: DataFrame, text: str = "text") -> DataFrame:
