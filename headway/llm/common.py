@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.session import scratch_dir
+from headway.session import delete_folder, scratch_dir
 
 #: Rows of one Arrow batch. Texts are whole, so the batch size is what bounds a Python worker's memory.
 BATCH_ROWS = 256
@@ -61,6 +61,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Steps:
+    """A table that a loop writes anew in each step: once the next one is whole, the one before it goes."""
+
+    def __init__(self, label: str):
+        self.label, self.path = label, None
+
+    def write(self, df: DataFrame) -> DataFrame:
+        spark, before = df.sparkSession, self.path
+        path = scratch_dir(spark, self.label)
+        df.write.parquet(path)
+        self.path = path
+        if before:
+            delete_folder(spark, before)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def clear(self, spark: SparkSession) -> None:
+        """Remove the last table too; nothing may read it any more."""
+        if self.path:
+            delete_folder(spark, self.path)
+            self.path = None
+
+
 def add_columns(df: DataFrame, make, columns: dict[str, str], text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Append columns computed from one column, task by task.
 

@@ -4,10 +4,12 @@ Texts with equal shingle sets collapse into one class first. Each class gets
 universal hash minima, the minima are banded, and bands meet in buckets. A
 bucket never emits all its pairs: in the first round every member is paired with
 the smallest one, verified pairs are joined into components, and only buckets
-that still hold several components go on, a few members of the smaller
-components at a time against the rest, until every pair of different components
-that shares a bucket has been compared. Signatures are compared first, full
-shingle sets decide. Components come from alternating large-star and small-star.
+that still hold several components go on. Each round takes about twice as many
+members of the smaller components as the last one and compares them with the
+rest, until every pair of different components that shares a bucket has been
+compared. Signatures are compared first, and only pairs that they allow meet with
+their full shingle sets, which decide. Components come from alternating
+large-star and small-star.
 
 Defined results: a null, empty or blank text has no shingles and is linked with
 nothing; a row without an id is grouped with nothing and is its own component
@@ -21,15 +23,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import WordHashes, add_columns, ascii_words, mixed, shingles, stored
+from headway.llm.common import Steps, WordHashes, add_columns, ascii_words, mixed, shingles, stored
 
 BANDS, ROWS = 24, 4
 #: Pairs whose share of equal minima falls this far below the limit are not confirmed; with 96 minima that is more than
 #: six standard deviations.
 MARGIN = 0.25
-#: Members of the smaller components of a bucket that one round compares with the rest: all of them while that makes at
-#: most ROUND_PAIRS pairs, and PIVOTS or so beyond; the others follow in later rounds.
-PIVOTS, ROUND_PAIRS = 8, 2048
+#: Fineness of the share of members that a round takes.
+_SHARES = 1 << 30
 _rng = np.random.default_rng(20240117)
 _A = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -93,10 +94,11 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             out = linked.select(F.col("b").alias("a"), F.col("low").alias("b")).union(linked.select("a", F.col("low").alias("b")))
         return out.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-    edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), label)
+    steps = Steps(label)
+    edges = steps.write(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     # done when every larger node has one edge and no smaller node has a smaller one itself
     while not _is_forest_of_stars(edges):
-        edges = stored(star(star(edges, True), False), label)
+        edges = steps.write(star(star(edges, True), False))
     roots = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     return roots.union(roots.select(F.col("component").alias("node"), "component").distinct())
 
@@ -110,30 +112,34 @@ def _is_forest_of_stars(edges: DataFrame) -> bool:
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are alike: 100 * intersection >= percent * union, after the signatures allow it."""
-    side = lambda n: sets.select(F.col("node").alias(n), F.col("n").alias(f"n_{n}"), F.col("sig").alias(f"sig_{n}"), F.col("hashes").alias(f"set_{n}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").where(
-        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-
-    def compare(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            keep = []
-            a, b, sig_a, sig_b = (batch.column(i) for i in range(4))
-            ours, theirs = (batch.column(i) for i in (4, 5))
-            for i in range(batch.num_rows):
-                x, y = np.frombuffer(sig_a[i].as_py(), np.int32), np.frombuffer(sig_b[i].as_py(), np.int32)
-                if (x == y).mean() < percent / 100 - MARGIN:
-                    continue
-                x, y = np.frombuffer(ours[i].as_py(), np.uint64), np.frombuffer(theirs[i].as_py(), np.uint64)
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                both = int((y[at] == x).sum())
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([a.take(pa.array(keep, pa.int64())), b.take(pa.array(keep, pa.int64()))], ["a", "b"])
-
-    return joined.select("a", "b", "sig_a", "sig_b", "set_a", "set_b").mapInArrow(compare, "a bigint, b bigint")
+    def sides(pairs: DataFrame, *columns: str) -> DataFrame:
+        for end in ("a", "b"):
+            pairs = pairs.join(sets.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in columns)), end)
+        return pairs
+
+    def kept(alike):
+        def run(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                a, b, ours, theirs = batch.columns
+                keep = pa.array([i for i, (x, y) in enumerate(zip(ours, theirs, strict=True)) if alike(x.as_buffer(), y.as_buffer())], pa.int64())
+                yield pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], ["a", "b"])
+        return run
+
+    def close(x, y):
+        return (np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)).mean() >= percent / 100 - MARGIN
+
+    def same(x, y):
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        at = np.searchsorted(y, x)
+        at[at == len(y)] = 0
+        both = int((y[at] == x).sum())
+        return 100 * both >= percent * (len(x) + len(y) - both)
+
+    sized = sides(pairs, "n", "sig").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    allowed = sized.select("a", "b", "sig_a", "sig_b").mapInArrow(kept(close), "a bigint, b bigint")
+    return sides(allowed, "hashes").select("a", "b", "hashes_a", "hashes_b").mapInArrow(kept(same), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -154,37 +160,36 @@ def near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
     sets = sets.withColumnRenamed("doc_id", "node").groupBy("node").agg(F.first("hashes").alias("hashes"))
     sets = stored(_with_minima(sets), "sets")
 
-    links, left = None, members
-    labels = members.select("node").distinct().withColumn("component", F.col("node"))
-    turn = 0
+    left, labels = members, members.select("node").distinct().withColumn("component", F.col("node"))
+    turns, named_nodes, turn = Steps("turn"), Steps("labels"), 0
     while True:
         labelled = left.join(labels, "node")
         buckets = labelled.groupBy("key", "component").agg(F.count("*").alias("size"), F.min("node").alias("low")).groupBy("key").agg(
             F.sum("size").alias("members"), F.count("*").alias("parts"), F.min("low").alias("low"),
             F.max("size").alias("most"), F.max_by("component", F.struct("size", "component")).alias("largest"))
-        buckets = stored(buckets.where("parts > 1"), "buckets")
-        if buckets.isEmpty():
-            break
-        labelled = labelled.join(buckets, "key")
         if turn == 0:
             pivot = F.col("node") == F.col("low")
         else:
-            # the largest component waits; members of the others are compared with all the rest
-            parts = F.ceil((F.col("members") - F.col("most")) / F.greatest(F.lit(PIVOTS), F.floor(ROUND_PAIRS / F.col("members"))))
-            pivot = (F.col("component") != F.col("largest")) & (F.pmod(F.xxhash64("node", F.lit(turn)), parts) == 0)
-        chosen = stored(labelled.where(pivot).select("key", F.col("node").alias("pivot"), F.col("component").alias("own")), "pivots")
-        pairs = labelled.join(chosen, "key").where("component <> own")
-        pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+            # the largest component waits; about 2 ** turn members of the others are compared with all the rest. The same
+            # members are taken in all their buckets, so that pairs which share several are compared once
+            place = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(_SHARES))
+            pivot = (F.col("component") != F.col("largest")) & (place * (F.col("members") - F.col("most")) < F.lit(_SHARES * 2.0 ** turn))
+        turned = turns.write(labelled.join(buckets.where("parts > 1"), "key").select("key", "node", "component", pivot.alias("pivot")))
+        if turned.isEmpty():
+            break
+        chosen = turned.where("pivot").select("key", F.col("node").alias("other"), F.col("component").alias("own"))
+        pairs = turned.join(chosen, "key").where("component <> own")
+        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         found = stored(_verified(pairs, sets, percent), "links")
         if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = members.select("node").distinct().join(components(links), "node", "left").select(
-                "node", F.coalesce("component", "node").alias("component"))
-            labels = stored(labels, "labels")
+            # the stars of the components so far stand for the links that made them
+            links = found.unionByName(labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
+            labels = named_nodes.write(members.select("node").distinct().join(components(links), "node", "left").select(
+                "node", F.coalesce("component", "node").alias("component")))
         # a pivot has now been compared with every other component of its bucket
-        left = stored(labelled.select("key", "node").join(
-            chosen.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti"), "members")
+        left = turned.where("NOT pivot").select("key", "node")
         turn += 1
+    turns.clear(docs.sparkSession)
 
     named = classes.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     out = rows.select("doc_id", "n", "digest").join(named, "digest", "left")
@@ -197,7 +202,8 @@ def _with_minima(sets: DataFrame) -> DataFrame:
     def make():
         def run(hashes):
             values = [np.frombuffer(h, np.uint64) for h in hashes]
-            return [[len(v) for v in values], [signature(v).tobytes() for v in values]]
+            # one byte of each minimum: unequal ones may look equal, which only lets a pair go on to the sets
+            return [[len(v) for v in values], [signature(v).astype(np.uint8).tobytes() for v in values]]
         return run
     return add_columns(sets, make, {"n": "bigint", "sig": "binary"}, text="hashes")
 
