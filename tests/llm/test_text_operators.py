@@ -97,6 +97,51 @@ def test_large_group_without_all_pairs(spark):
     assert got == {i: c for i, (_, c) in brute.groups(rows, 3, 85).items()}
 
 
+def test_copies_of_different_depth_make_few_pairs(spark, monkeypatch):
+    """Near copies of which many differ too much from each other: sketches refute those inside the buckets."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        words = [f"w{k}" for k in range(200)]
+        for k in rng.sample(range(200), rng.randrange(12)):
+            words[k] = f"x{i}y{k}"
+        rows.append((i, " ".join(words)))
+    rows.append((400, rows[3][1] + " other end"))
+    rows.append((400, "a text of its own under the same id"))
+    made, verified = [], neardup._verified
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "_verified", counted)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(table.where("doc_id < 400"), 3, 85).collect()}
+    assert got == {i: c for i, (_, c) in brute.groups(rows[:300], 3, 85).items()} and len(set(got.values())) > 1
+    assert sum(made) < 1_000  # 44,850 pairs meet in buckets
+    out = neardup.near_duplicates(table, 3, 85).where("doc_id = 400").collect()
+    assert [r["component_id"] for r in out] == [got[3]] * 2  # one document of two texts
+
+
+def test_sketches_refute_no_alike_pair():
+    rng = np.random.default_rng(3)
+    sets = []
+    for size in (1, 3, 40, 600, 60_000):
+        one = rng.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2)
+        for change in (0, 1, size // 30, size // 12, size // 3):
+            sets.append(np.unique(np.concatenate([one[change:], rng.integers(0, 2**63, change, dtype=np.uint64)])))
+    n = np.array([len(s) for s in sets])
+    sketches = np.array([np.frombuffer(neardup.sketch(s, neardup.signature(s)), np.uint8) for s in sets])
+    left, right = (x.ravel() for x in np.meshgrid(range(len(sets)), range(len(sets))))
+    allowed = set(neardup.allowed_pairs(n, sketches, left, right, 85).tolist())
+    for at, (a, b) in enumerate(zip(left, right, strict=True)):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        if 100 * both >= 85 * (n[a] + n[b] - both):
+            assert at in allowed
+        elif 100 * both < 30 * (n[a] + n[b] - both):
+            assert at not in allowed
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, 50), (50, 70), (7, 7)]
     got = {r["node"]: r["component"] for r in neardup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
