@@ -4,8 +4,10 @@ A page becomes lines, one per block element. Lines inside an element that is
 furniture by its tag, role or class are gone at once. The rest is compared with
 the page of the same host whose URL path is nearest: the lines are aligned by
 their longest common subsequence, and shared lines are deleted as template text.
-Lines inside an explicit article element are the page's own and stay, links alone
-too; where a page has such an element, nothing outside it stays. Inside it an
+This is done for every page. What the contract calls the article's own is restored
+afterwards: inside an explicit article element a shared line goes only if it is
+links alone, a menu of the template; shared prose and links of this page only stay.
+Where a page has such an element, nothing outside it stays. Inside it an
 element is furniture by its tag, by a whole class or role, or by one of a few
 names in class, id or role, never by its label or a part of a class; a section
 only by those names, a heading never. A
@@ -217,15 +219,14 @@ def shared_lines(a: list, b: list) -> list[int]:
 def main_text(page: str | None, partner: list[int] | None) -> str:
     """The page's own lines, joined by a space; ``partner`` has the hashes of the open lines of the nearest page."""
     found = lines(page)
-    if any(article for _, article, _ in found):
-        return " ".join(text for text, article, _ in found if article)
+    shared = set()
     if partner:
-        hashes = [_hash(text) for text, _, _ in found]
-        shared = set(shared_lines(hashes, partner))
-        size = sum(len(text) for text, _, _ in found)
-        if sum(len(found[i][0]) for i in shared) < COPY_SHARE * size:
-            found = [x for i, x in enumerate(found) if i not in shared]
-    return " ".join(text for text, _, links in found if not links)
+        shared = set(shared_lines([_hash(text) for text, _, _ in found], partner))
+        if sum(len(found[i][0]) for i in shared) >= COPY_SHARE * sum(len(text) for text, _, _ in found):
+            shared = set()
+    if any(article for _, article, _ in found):
+        return " ".join(text for i, (text, article, links) in enumerate(found) if article and not (links and i in shared))
+    return " ".join(text for i, (text, _, links) in enumerate(found) if not links and i not in shared)
 
 
 def _hash(line: str) -> int:
@@ -235,7 +236,7 @@ def _hash(line: str) -> int:
 
 
 def _open_hashes(page: str | None) -> list[int]:
-    """Hashes of the lines outside furniture; a page with an article element has lines of its own already."""
+    """Hashes of the lines outside furniture."""
     return [_hash(text) for text, _, _ in lines(page)]
 
 

@@ -266,6 +266,17 @@ def test_article_keeps_its_links_and_marked_sections():
         assert page_text.main_text(f"<body>{menu}{page}</body>", None) == expected
 
 
+def test_differences_decide_inside_an_article_too(spark):
+    """A menu that neighbours share goes; shared prose and links of one page only stay."""
+    page = "<article><h1>T{0}</h1><ul><li><a href='/'>Home</a><li><a href='/n'>All news</a></ul><p>A sentence that both say.</p><p><a href=/x>Source {0}</a></p><p>{1}</p></article>"
+    long = "Words of this page only, number {0}, which are many more than those it shares with the page beside it."
+    rows = [(i, f"http://h.org/a/{i}", page.format(i, long.format(i))) for i in (1, 2)]
+    rows += [(3, "http://z.org/a", page.format(3, long.format(3)))]
+    got = {r["page_id"]: r["text"] for r in page_text.html_extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    text = "T{0} {1}A sentence that both say. Source {0} " + long
+    assert got == {i: text.format(i, menu) for i, menu in ((1, ""), (2, ""), (3, "Home All news "))}
+
+
 def test_comments_and_notices_inside_an_article_go():
     gone = ("<section class='comments'><p>gone</section>", "<div id='comments' class='comments-area'>gone</div>", "<section id=comments>gone</section>",
             "<div class='cookie-notice'>gone</div>", "<div class='ad-banner'>gone</div>", "<div id='sidebar'>gone</div>", "<div class='sidebar-widget'>gone</div>",
