@@ -223,6 +223,17 @@ def test_repeats(docs, real):
     assert repeats.repeated_bytes(docs.limit(0)).count() == 0
 
 
+def test_planted_passages_are_removed(spark):
+    """Passages of 400 bytes and more that repeat count as removed; texts without one stay whole."""
+    rng = random.Random(9)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
+    passage = words(60)
+    rows = [(i, f"{words(80)} {passage} {words(20)}" if i % 2 else words(150)) for i in range(20)]
+    got = {r["doc_id"]: r for r in repeats.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        assert got[i]["n_bytes"] == len(text) and (got[i]["n_removed"] >= len(passage)) == bool(i % 2) and (got[i]["n_removed"] > 0) == bool(i % 2)
+
+
 def test_merge_of_transforms_is_the_transform_order():
     rng = random.Random(3)
     strings = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 40))).encode() for _ in range(30)]
