@@ -123,6 +123,14 @@ def test_copies_of_different_depth_make_few_pairs(spark, monkeypatch):
     assert [r["component_id"] for r in out] == [got[3]] * 2  # one document of two texts
 
 
+def test_shards_of_a_bucket_meet(spark, monkeypatch):
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1:i + 90], f"y{i}", *base[i + 91:]])) for i in range(0, 100, 2)]
+    monkeypatch.setattr(neardup, "SHARD", 8)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 96).collect()}
+    assert got == {i: c for i, (_, c) in brute.groups(rows, 3, 96).items()}
+
+
 def test_sketches_refute_no_alike_pair():
     rng = np.random.default_rng(3)
     sets = []
