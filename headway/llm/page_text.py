@@ -2,24 +2,27 @@
 
 A page becomes lines, one per block element. Lines inside an element that is
 furniture by its tag, role or class are gone at once. The rest is compared with
-the page of the same host whose URL path is nearest: the lines are aligned by
-their longest common subsequence, and shared lines are deleted as template text.
-This is done for every page. What the contract calls the article's own is restored
-afterwards: inside an explicit article element a shared line goes only if it is
-links alone, a menu of the template; shared prose and links of this page only stay.
-Where a page has such an element, nothing outside it stays. Inside it an
+the page of the same host whose URL path is nearest and that is no copy: the lines
+are aligned by their longest common subsequence, and shared lines are deleted as
+template text. This is done for every page. Inside an explicit article element, whose
+prose the contract keeps, one neighbour is enough for a line of links alone, a menu;
+prose goes as a notice or advert of the template if every neighbour, four on each
+side, four at least and copies aside, has it at the same place, counted from the
+first line or from the last. Sentences that articles happen to share stay. Where a page has such an element, nothing outside it stays. Inside it an
 element is furniture by its tag, by a whole class or role, or by one of a few
 names in class, id or role, never by its label or a part of a class; a section
-only by those names, a heading never. A
-pair that shares most of its text is a pair of copies, and nothing is deleted.
+only by those names, a heading never. Pages of a
+host with equal lines are one page for the pairing; a pair that shares most of its
+text is a pair of copies too, and neither decides about the other.
 
 The nearest page is a neighbour in the order of host and path: the one with the
-longer common prefix, the earlier one on a tie. Ranks in that order come from a
-range partitioning, so no host has to fit into one task.
+longest common prefix, the closer one on a tie, then the earlier one. Ranks in that
+order come from a range partitioning, so no host has to fit into one task.
 
 Defined results: a null or empty html gives an empty text; a page without a URL
 or alone on its host has no partner; equal pages (same id, URL and html) are one
-page for the pairing and all get the result; other columns are not read.
+page for the pairing and all get the result; of pages with equal lines the least
+path stands for all; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,8 +31,9 @@ import html as entities
 import re
 from bisect import bisect_left
 from collections import Counter
+from posixpath import commonprefix
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.common import add_columns, stored
@@ -59,6 +63,10 @@ INSIDE = frozenset(
     "sharebar sharelinks socialshare sociallinks relatedposts relatedarticles relatedlinks sitefooter siteheader siteinfo newslettersignup".split())
 #: A pair that shares this part of its open text is a pair of copies.
 COPY_SHARE = 0.8
+#: Neighbours on each side, and how many of them, copies aside, must be there to make a line of prose the template's.
+NEIGHBOURS, WITNESSES = 4, 4
+#: Pages, in their order, that a task compares with their neighbours; not fewer than NEIGHBOURS.
+RUN = 4096
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>", re.S)
 #: The same without tags: all that can still match where no ">" follows.
@@ -216,34 +224,50 @@ def shared_lines(a: list, b: list) -> list[int]:
     return out[::-1]
 
 
-def main_text(page: str | None, partner: list[int] | None) -> str:
-    """The page's own lines, joined by a space; ``partner`` has the hashes of the open lines of the nearest page."""
+def main_text(page: str | None, shared: list[int] | None = None, common: list[int] | None = None) -> str:
+    """The page's own lines, joined by a space, without those at the places that ``differences`` gave."""
     found = lines(page)
-    shared = set()
-    if partner:
-        shared = set(shared_lines([_hash(text) for text, _, _ in found], partner))
-        if sum(len(found[i][0]) for i in shared) >= COPY_SHARE * sum(len(text) for text, _, _ in found):
-            shared = set()
-    if any(article for _, article, _ in found):
-        return " ".join(text for i, (text, article, links) in enumerate(found) if article and not (links and i in shared))
-    return " ".join(text for i, (text, _, links) in enumerate(found) if not links and i not in shared)
+    shared, common = set(shared or ()), set(common or ())
+    inside = any(article for _, article, _ in found)
+    return " ".join(text for i, (text, article, links) in enumerate(found) if i not in common and (
+        article and not (links and i in shared) if inside else not links and i not in shared))
 
 
-def _hash(line: str) -> int:
+def _code(line: str) -> int:
+    """A hash of 48 bits of a line, then 16 bits of its length."""
     import xxhash
 
-    return xxhash.xxh3_64_intdigest(line.encode()) - (1 << 63)
+    return (xxhash.xxh3_64_intdigest(line.encode()) & ~0xFFFF | min(len(line), 0xFFFF)) - (1 << 63)
 
 
-def _open_hashes(page: str | None) -> list[int]:
-    """Hashes of the lines outside furniture."""
-    return [_hash(text) for text, _, _ in lines(page)]
+def _codes(page: str | None) -> list[int]:
+    """Codes of the lines outside furniture."""
+    return [_code(text) for text, _, _ in lines(page)]
 
 
-def nearest_pages(pages: DataFrame) -> DataFrame:
-    """(key, partner) for keyed pages with host and path: the neighbour with the longer common prefix."""
+def differences(path: str, codes: list[int], others: list[tuple[str, list[int]]]) -> tuple[list[int], list[int]]:
+    """Places of the lines shared with the nearest other page that is no copy, and of those at one place in all others, copies aside.
+
+    ``others`` are (path, codes) of pages of the host, in the order that counts where as much of the path is common.
+    """
+    whole = sum(x & 0xFFFF for x in codes)
+    shared, witnesses = None, []
+    for _, other in sorted(others, key=lambda o: -len(commonprefix([path, o[0]]))):
+        both = shared_lines(codes, other)
+        if sum(codes[i] & 0xFFFF for i in both) < COPY_SHARE * whole:
+            shared = both if shared is None else shared
+            witnesses.append(other)
+    if len(witnesses) < WITNESSES:
+        return shared or [], []
+    places = ((i, i - len(codes)) for i in shared)
+    return shared, [i for i, back in places if any(all(-len(o) <= at < len(o) and o[at] == codes[i] for o in witnesses) for at in (i, back))]
+
+
+def page_differences(pages: DataFrame) -> DataFrame:
+    """(host, content, shared, common) of the different pages of a host that have such lines, for rows (key, host, path, codes, content)."""
     size = pages.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ordered = stored(pages.repartitionByRange(int(size), "host", "path", "key").sortWithinPartitions("host", "path", "key")
+    different = pages.groupBy("host", "content").agg(F.min(F.struct("path", "key", "codes")).alias("one")).select("host", "content", "one.*")
+    ordered = stored(different.repartitionByRange(int(size), "host", "path", "key").sortWithinPartitions("host", "path", "key")
                      .withColumns({"part": F.spark_partition_id(), "row": F.monotonically_increasing_id()}), "pages-ordered")
     # the row numbers of a partition become ranks once the partitions before it are counted: one number per partition
     counts = ordered.groupBy("part").agg(F.count("*").alias("n"), F.min("row").alias("low")).orderBy("part").collect()
@@ -252,36 +276,39 @@ def nearest_pages(pages: DataFrame) -> DataFrame:
         offsets.append((r["part"], total - r["low"]))
         total += r["n"]
     shift = ordered.sparkSession.createDataFrame(offsets or [(-1, 0)], "part int, shift bigint")
-    ranked = ordered.join(F.broadcast(shift), "part").select("key", "host", "path", (F.col("row") + F.col("shift")).alias("rank"))
-    side = lambda step, name: ranked.select(
-        (F.col("rank") + step).alias("rank"), F.col("key").alias(f"{name}_key"), F.col("host").alias(f"{name}_host"), F.col("path").alias(f"{name}_path"))
-    both = ranked.join(side(1, "before"), "rank", "left").join(side(-1, "after"), "rank", "left")
+    ranked = ordered.join(F.broadcast(shift), "part").withColumn("rank", F.col("row") + F.col("shift")).drop("part", "row", "shift", "key")
+    # runs of ranks, each with the neighbours of its ends: no host has to fit into one task
+    ends = F.array(*(F.floor((F.col("rank") + step) / RUN) for step in (-NEIGHBOURS, 0, NEIGHBOURS)))
+    runs = Window.partitionBy("run").orderBy("rank")
+    page = F.struct("host", "path", "codes")
+    steps = [step for n in range(1, NEIGHBOURS + 1) for step in (-n, n)]
+    beside = ranked.withColumn("run", F.explode(F.array_distinct(ends))).withColumn("beside", F.array(*(F.lead(page, n).over(runs) for n in steps)))
+    others = F.transform(F.filter("beside", lambda x: x["host"] == F.col("host")), lambda x: F.struct(x["path"].alias("path"), x["codes"].alias("codes")))
+    rows = beside.where(F.col("run") == F.floor(F.col("rank") / RUN)).select("host", "content", F.struct("path", "codes", others.alias("others")).alias("input"))
 
-    def common(name):
-        positions = F.sequence(F.lit(1), F.least(F.length("path"), F.length(f"{name}_path")))
-        differs = F.filter(positions, lambda i: F.substr(F.col("path"), i, F.lit(1)) != F.substr(F.col(f"{name}_path"), i, F.lit(1)))
-        prefix = F.coalesce(F.array_min(differs) - 1, F.least(F.length("path"), F.length(f"{name}_path")))
-        either_empty = F.least(F.length("path"), F.length(f"{name}_path")) == 0
-        return F.when(F.col(f"{name}_host") == F.col("host"), F.when(either_empty, 0).otherwise(prefix)).otherwise(-1)
+    def make():
+        def run(rows):
+            found = [differences(r["path"], r["codes"], [(o["path"], o["codes"]) for o in r["others"]]) for r in rows]
+            return [shared for shared, _ in found], [common for _, common in found]
+        return run
 
-    both = both.withColumns({"b": common("before"), "a": common("after")})
-    partner = F.when((F.col("b") >= F.col("a")) & (F.col("b") >= 0), F.col("before_key")).when(F.col("a") >= 0, F.col("after_key"))
-    return both.select("key", partner.alias("partner")).where("partner IS NOT NULL")
+    found = add_columns(rows, make, {"shared": "array<int>", "common": "array<int>"}, text="input", keep=["host", "content"])
+    return found.where(F.size("shared") > 0)
 
 
 def html_extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     base = pages.select("page_id", "url", "html").withColumn("key", F.xxhash64("page_id", "url", "html"))
     pattern = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^?#]*)"
-    hashed = add_columns(base, lambda: lambda pages: [[_open_hashes(p) for p in pages]], {"hashes": "array<bigint>"}, text="html", keep=["key", "url"])
-    hashed = stored(hashed.select("key", F.lower(F.regexp_extract("url", pattern, 1)).alias("host"), F.regexp_extract("url", pattern, 2).alias("path"), "hashes")
-                    .dropDuplicates(["key"]), "page-lines")
-    pairs = nearest_pages(hashed.where("host <> ''").select("key", "host", "path"))
-    partners = pairs.join(hashed.select(F.col("key").alias("partner"), F.col("hashes").alias("partner_hashes")), "partner").select("key", "partner_hashes")
-    joined = base.join(partners, "key", "left").select("page_id", "url", F.struct("html", "partner_hashes").alias("input"))
+    coded = add_columns(base, lambda: lambda pages: [[_codes(p) for p in pages]], {"codes": "array<bigint>"}, text="html", keep=["key", "url"])
+    coded = stored(coded.select("key", F.lower(F.regexp_extract("url", pattern, 1)).alias("host"), F.regexp_extract("url", pattern, 2).alias("path"), "codes")
+                   .where("host <> '' AND size(codes) > 0").withColumn("content", F.xxhash64("codes")), "page-lines")
+    found = stored(page_differences(coded), "page-differences")
+    own = coded.select("key", "host", "content").distinct().join(found, ["host", "content"]).select("key", "shared", "common")
+    joined = base.join(own, "key", "left").select("page_id", "url", F.struct("html", "shared", "common").alias("input"))
 
     def make():
-        return lambda rows: [[main_text(r["html"], r["partner_hashes"]) for r in rows]]
+        return lambda rows: [[main_text(r["html"], r["shared"], r["common"]) for r in rows]]
 
     out = add_columns(joined, make, {"text": "string"}, text="input", keep=["page_id", "url"])
     return out.withColumn("n_chars", F.length("text").cast("bigint"))

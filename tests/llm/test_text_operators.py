@@ -296,6 +296,42 @@ def test_differences_decide_inside_an_article_too(spark):
     assert got == {i: text.format(i, menu) for i, menu in ((1, ""), (2, ""), (3, "Home All news "))}
 
 
+def test_template_prose_inside_an_article_goes_by_the_differences(spark, monkeypatch):
+    """A notice that all neighbours have goes, a sentence of some stays; copies neither hide a page's neighbours nor count as them."""
+    page = "<article><h1>T{0}</h1><p>Sign up for our letter.</p>{1}<p>{2}</p></article>"
+    own = "Words of this page only, number {0}, which are many more than those it shares with the pages beside it."
+    quote = "<p>A sentence that some quote.</p>"
+    rows = [(i, f"http://h.org/a/{i}", page.format(i, quote if i < 23 else "", own.format(i))) for i in range(20, 30)]
+    rows += [(100 + i, f"http://h.org/a/25?copy={i}", rows[5][2]) for i in range(6)]
+    rows += [(i, f"http://few.org/{i}", page.format(i, "", own.format(i))) for i in (1, 2)]
+    rows += [(i, f"http://open.org/{i // 3}", f"<p>Sign up for our letter.</p><p>{own.format(i // 3)}") for i in (33, 34, 36)]
+    expected = {i: f"T{i} " + ("A sentence that some quote. " if i < 23 else "") + own.format(i) for i in range(20, 30)}
+    expected |= {100 + i: expected[25] for i in range(6)} | {i: f"T{i} Sign up for our letter. " + own.format(i) for i in (1, 2)}
+    expected |= {i: own.format(i // 3) for i in (33, 34, 36)}
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for run in (page_text.RUN, 5):
+        monkeypatch.setattr(page_text, "RUN", run)
+        assert {r["page_id"]: r["text"] for r in page_text.html_extract(frame).collect()} == expected
+
+
+def test_page_differences_equal_those_of_all_pairs(spark, monkeypatch):
+    """The pages beside a page in the order of host and path, taken from a sorted list."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(150):
+        text = "".join(f"<p>line {rng.randrange(12)}" for _ in range(rng.randrange(1, 9)))
+        rows.append((i, f"http://h{rng.randrange(3)}.org/{rng.randrange(4)}/{i}", f"<p>own {i}{text}"))
+    pages = sorted((url[7:12], url[12:], page_text._codes(page), i) for i, url, page in rows)
+    expected = {}
+    for k, (host, path, codes, i) in enumerate(pages):
+        beside = [pages[j] for n in range(1, page_text.NEIGHBOURS + 1) for j in (k - n, k + n) if 0 <= j < len(pages) and pages[j][0] == host]
+        shared, _ = page_text.differences(path, codes, [(p, c) for _, p, c, _ in beside])
+        expected[i] = " ".join(t for j, (t, _, _) in enumerate(page_text.lines(rows[i][2])) if j not in shared)
+    monkeypatch.setattr(page_text, "RUN", 7)
+    got = {r["page_id"]: r["text"] for r in page_text.html_extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == expected and any(got[i] != rows[i][2].replace("<p>", " ").strip() for i in got)
+
+
 def test_comments_and_notices_inside_an_article_go():
     gone = ("<section class='comments'><p>gone</section>", "<div id='comments' class='comments-area'>gone</div>", "<section id=comments>gone</section>",
             "<div class='cookie-notice'>gone</div>", "<div class='ad-banner'>gone</div>", "<div id='sidebar'>gone</div>", "<div class='sidebar-widget'>gone</div>",
