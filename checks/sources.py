@@ -264,6 +264,5 @@ def _(t):
     tables = layers(t)
     tables.append_positions(t.positions, 0)
     tables.promote(tables.batch("bronze.vehicle_positions", 0), 0, as_of=AS_OF)
-    tables.add_partials("gold.hourly_partials", 0)
     tables.refresh_hourly()
     return rounded_gold(tables.table("gold.hourly_vehicle_metrics"))

@@ -341,8 +341,8 @@ class Layers:
         return seen.where(F.col("batch_id") >= start)
 
     def promote(self, rows: DataFrame, batch_id: int, *, as_of=None, history: bool = False) -> int:
-        """Move fit rows to silver and return their number: those of vehicles that no earlier batch promoted, or with
-        ``history`` those whose vehicle and time are new.
+        """Move fit rows to silver, store the sums they add to gold and return their number: those of vehicles that no
+        earlier batch promoted, or with ``history`` those whose vehicle and time are new.
 
         The ids promoted so far are kept in their own small table, bucketed by id, so a batch never scans silver; the
         history rule reads silver's rows of the batch's dates.
@@ -352,13 +352,16 @@ class Layers:
             dates = fit.select(F.to_date("timestamp").alias("event_date")).distinct()
             earlier = self.with_partitions("silver.vehicle_positions").where(F.col("batch_id") < batch_id)
             fresh = first_per_event(fit, earlier.join(dates, "event_date", "left_semi"))
-            return self.write_batch("silver.vehicle_positions", fresh.select(*rows.columns), batch_id)["rows"]
+            written = self.write_batch("silver.vehicle_positions", fresh.select(*rows.columns), batch_id)["rows"]
+            self.add_partials("gold.hourly_partials", batch_id)
+            return written
         seen = self.seen_before(batch_id)
         written = self.write_batch("silver.vehicle_positions", first_batch_only(fit, seen), batch_id)["rows"]
         promoted = self.batch("silver.vehicle_positions", batch_id).select("vehicle_id")
         if batch_id and batch_id % SEEN_FOLD == 0:
             promoted = promoted.unionByName(seen.select("vehicle_id"))
         self.write_batch("silver.seen_vehicles", promoted.distinct(), batch_id)
+        self.add_partials("gold.hourly_partials", batch_id)
         return written
 
     def add_partials(self, table: str, batch_id: int) -> None:

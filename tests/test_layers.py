@@ -51,6 +51,16 @@ def test_gold_adds_up_over_batches_and_counts_a_vehicle_once(spark, layers):
     assert gold(layers) == {(hour, "r"): (3, 3)}
 
 
+def test_promoted_rows_reach_gold_with_the_next_refresh(spark, layers):
+    rows = [("v1", "r", 1.0, START), ("v2", "r", 2.0, START)]
+    for batch, history in ((0, False), (1, True)):
+        later = START + timedelta(hours=batch)
+        layers.append_positions(position_rows(spark, [(*r[:3], later) for r in rows]), batch)
+        layers.promote(layers.batch("bronze.vehicle_positions", batch), batch, as_of=later, history=history)
+    layers.refresh_hourly()
+    assert gold(layers) == {(START, "r"): (2, 2), (START + timedelta(hours=1), "r"): (2, 2)}
+
+
 def test_a_refresh_reads_touched_hours_only(spark, layers):
     for batch in range(3):
         put(layers, position_rows(spark, [("v1", "r", 1.0, START + timedelta(days=batch, hours=batch))]), batch)
