@@ -4,11 +4,12 @@ A page becomes lines, one per block element. Lines inside an element that is
 furniture by its tag, role or class are gone at once. The rest is compared with
 the page of the same host whose URL path is nearest and that is no copy: the lines
 are aligned by their longest common subsequence, and shared lines are deleted as
-template text. This is done for every page. Inside an explicit article element, whose
-prose the contract keeps, one neighbour is enough for a line of links alone, a menu;
-prose goes as a notice or advert of the template if every neighbour, four on each
-side, four at least and copies aside, has it at the same place, counted from the
-first line or from the last. Sentences that articles happen to share stay. Where a page has such an element, nothing outside it stays. Inside it an
+template text. This is done for every page. A check of what is left and deleted
+follows where a page has an explicit article element: nothing outside it stays, and
+its prose, which the contract keeps, comes back unless the alignments with all
+neighbours, four on each side, four at least and copies aside, share it: that is a
+notice or advert of the template, wherever it stands. Sentences that articles happen
+to share stay; a line of links alone, a menu, goes by the nearest page. Inside an article an
 element is furniture by its tag, by a whole class or role, or by one of a few
 names in class, id or role, never by its label or a part of a class; a section
 only by those names, a heading never. Pages of a
@@ -225,12 +226,17 @@ def shared_lines(a: list, b: list) -> list[int]:
 
 
 def main_text(page: str | None, shared: list[int] | None = None, common: list[int] | None = None) -> str:
-    """The page's own lines, joined by a space, without those at the places that ``differences`` gave."""
+    """The page's own lines, joined by a space: without those at the places that ``differences`` gave, then checked against the article."""
     found = lines(page)
     shared, common = set(shared or ()), set(common or ())
-    inside = any(article for _, article, _ in found)
-    return " ".join(text for i, (text, article, links) in enumerate(found) if i not in common and (
-        article and not (links and i in shared) if inside else not links and i not in shared))
+    own = [i for i in range(len(found)) if i not in shared]
+    if any(article for _, article, _ in found):
+        # the article's prose comes back unless all neighbours share it
+        back = [i for i in shared - common if not found[i][2]]
+        own = [i for i in sorted([*own, *back]) if found[i][1]]
+    else:
+        own = [i for i in own if not found[i][2]]
+    return " ".join(found[i][0] for i in own)
 
 
 def _code(line: str) -> int:
@@ -246,21 +252,19 @@ def _codes(page: str | None) -> list[int]:
 
 
 def differences(path: str, codes: list[int], others: list[tuple[str, list[int]]]) -> tuple[list[int], list[int]]:
-    """Places of the lines shared with the nearest other page that is no copy, and of those at one place in all others, copies aside.
+    """Places of the lines shared with the nearest other page that is no copy, and of those shared with all others, copies aside.
 
     ``others`` are (path, codes) of pages of the host, in the order that counts where as much of the path is common.
     """
     whole = sum(x & 0xFFFF for x in codes)
-    shared, witnesses = None, []
+    found = []
     for _, other in sorted(others, key=lambda o: -len(commonprefix([path, o[0]]))):
         both = shared_lines(codes, other)
         if sum(codes[i] & 0xFFFF for i in both) < COPY_SHARE * whole:
-            shared = both if shared is None else shared
-            witnesses.append(other)
-    if len(witnesses) < WITNESSES:
-        return shared or [], []
-    places = ((i, i - len(codes)) for i in shared)
-    return shared, [i for i, back in places if any(all(-len(o) <= at < len(o) and o[at] == codes[i] for o in witnesses) for at in (i, back))]
+            found.append(both)
+    if not found:
+        return [], []
+    return found[0], sorted(set(found[0]).intersection(*found[1:])) if len(found) >= WITNESSES else []
 
 
 def page_differences(pages: DataFrame) -> DataFrame:

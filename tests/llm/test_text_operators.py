@@ -314,6 +314,20 @@ def test_template_prose_inside_an_article_goes_by_the_differences(spark, monkeyp
         assert {r["page_id"]: r["text"] for r in page_text.html_extract(frame).collect()} == expected
 
 
+def test_template_prose_amid_an_article_goes_by_the_alignment(spark):
+    """A notice goes wherever the alignments with all neighbours find it, also behind and before any number of paragraphs."""
+    own = "Paragraph {1} of page {0} with words of this page only, which are many more than those it shares."
+    quote = "A sentence that some quote."
+    rows, expected = [], {}
+    for i in range(20, 30):
+        head, tail = ([own.format(i, j) for j in range(at, at + n)] for at, n in ((0, i % 4), (4, 1 + i % 3)))
+        text = [f"T{i}", *head, "Sign up for our letter.", *([quote] if i < 23 else []), *tail]
+        rows.append((i, f"http://h.org/a/{i}", "<article><p>" + "</p><p>".join(text) + "</p></article>"))
+        expected[i] = " ".join(x for x in text if x != "Sign up for our letter.")
+    got = {r["page_id"]: r["text"] for r in page_text.html_extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == expected
+
+
 def test_page_differences_equal_those_of_all_pairs(spark, monkeypatch):
     """The pages beside a page in the order of host and path, taken from a sorted list."""
     rng = random.Random(5)
