@@ -17,8 +17,11 @@ host with equal lines are one page for the pairing; a pair that shares most of i
 text is a pair of copies too, and neither decides about the other.
 
 The nearest page is a neighbour in the order of host and path: the one with the
-longest common prefix, the closer one on a tie, then the earlier one. Ranks in that
-order come from a range partitioning, so no host has to fit into one task.
+longest common prefix, the closer one on a tie, then the earlier one. Where all
+neighbours are copies and the host has pages beyond them, the next page before and
+the next behind that have a near page stand in for them, and those near pages too.
+Ranks in that order come from a range partitioning, so no host has to fit into one
+task.
 
 Defined results: a null or empty html gives an empty text; a page without a URL
 or alone on its host has no partner; equal pages (same id, URL and html) are one
@@ -251,20 +254,68 @@ def _codes(page: str | None) -> list[int]:
     return [_code(text) for text, _, _ in lines(page)]
 
 
-def differences(path: str, codes: list[int], others: list[tuple[str, list[int]]]) -> tuple[list[int], list[int]]:
-    """Places of the lines shared with the nearest other page that is no copy, and of those shared with all others, copies aside.
+def compared(path: str, codes: list[int], others: list[tuple[str, list[int]]]) -> list[tuple[int, list[int]]]:
+    """(which other page, places of the lines shared with it) of the other pages that are no copies, the nearest first.
 
     ``others`` are (path, codes) of pages of the host, in the order that counts where as much of the path is common.
     """
     whole = sum(x & 0xFFFF for x in codes)
     found = []
-    for _, other in sorted(others, key=lambda o: -len(commonprefix([path, o[0]]))):
-        both = shared_lines(codes, other)
-        if sum(codes[i] & 0xFFFF for i in both) < COPY_SHARE * whole:
-            found.append(both)
+    for i in sorted(range(len(others)), key=lambda i: -len(commonprefix([path, others[i][0]]))):
+        both = shared_lines(codes, others[i][1])
+        if sum(codes[j] & 0xFFFF for j in both) < COPY_SHARE * whole:
+            found.append((i, both))
+    return found
+
+
+def decided(found: list[tuple[int, list[int]]]) -> tuple[list[int], list[int]]:
+    """Places of the lines shared with the nearest page of ``compared``, and of those shared with all of them."""
     if not found:
         return [], []
-    return found[0], sorted(set(found[0]).intersection(*found[1:])) if len(found) >= WITNESSES else []
+    shared = found[0][1]
+    return shared, sorted(set(shared).intersection(*(both for _, both in found))) if len(found) >= WITNESSES else []
+
+
+def differences(path: str, codes: list[int], others: list[tuple[str, list[int]]]) -> tuple[list[int], list[int]]:
+    """Places of the lines shared with the nearest other page that is no copy, and of those shared with all others, copies aside."""
+    return decided(compared(path, codes, others))
+
+
+def _with_differences(rows: DataFrame) -> DataFrame:
+    """Rows (.., path, codes, others) without others: shared, common, and the nearest of them that is no copy as near_path and near_codes."""
+    def make():
+        def run(rows):
+            out = [], [], [], []
+            for r in rows:
+                others = [(o["path"], o["codes"]) for o in r["others"]]
+                found = compared(r["path"], r["codes"], others)
+                for column, value in zip(out, (*decided(found), *(others[found[0][0]] if found else (None, None))), strict=True):
+                    column.append(value)
+            return out
+        return run
+
+    columns = {"shared": "array<int>", "common": "array<int>", "near_path": "string", "near_codes": "array<bigint>"}
+    keep = [c for c in rows.columns if c != "others"]
+    return add_columns(rows.withColumn("input", F.struct("path", "codes", "others")), make, columns, text="input", keep=keep)
+
+
+def beyond_copies(found: DataFrame) -> DataFrame:
+    """The rows without a near page whose host goes on, compared anew with the next pages before and behind that have one, and with those pages' near ones."""
+    own = F.struct(F.col("path").alias("path"), F.col("codes").alias("codes"))
+    near = F.struct(F.col("near_path").alias("path"), F.col("near_codes").alias("codes"))
+    known = F.when(F.col("near_path").isNotNull(), F.struct("host", own.alias("own"), near.alias("near")))
+    rows = found.withColumn("run", F.floor(F.col("rank") / RUN)).withColumn("known", known)
+    before, behind = (Window.partitionBy("run").orderBy(order).rowsBetween(Window.unboundedPreceding, -1) for order in (F.asc("rank"), F.desc("rank")))
+    inside = rows.withColumn("before", F.last("known", True).over(before)).withColumn("behind", F.last("known", True).over(behind))
+    # what a run takes over from the runs beside it: one page per run
+    ends = rows.where("known IS NOT NULL").groupBy("run").agg(F.min_by("known", "rank").alias("first"), F.max_by("known", "rank").alias("last"))
+    ends = rows.select("run").distinct().join(F.broadcast(ends), "run", "left")
+    before, behind = (Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1) for order in (F.asc("run"), F.desc("run")))
+    ends = ends.select("run", F.last("last", True).over(before).alias("earlier"), F.last("first", True).over(behind).alias("later"))
+    lonely = inside.where("known IS NULL AND beyond").join(F.broadcast(ends), "run")
+    sides = F.coalesce("before", "earlier"), F.coalesce("behind", "later")
+    pages = F.array(*(F.when(side["host"] == F.col("host"), side[name]) for name in ("own", "near") for side in sides))
+    return _with_differences(lonely.select("host", "content", "rank", "path", "codes", F.filter(pages, lambda x: x.isNotNull()).alias("others")))
 
 
 def page_differences(pages: DataFrame) -> DataFrame:
@@ -288,16 +339,15 @@ def page_differences(pages: DataFrame) -> DataFrame:
     steps = [step for n in range(1, NEIGHBOURS + 1) for step in (-n, n)]
     beside = ranked.withColumn("run", F.explode(F.array_distinct(ends))).withColumn("beside", F.array(*(F.lead(page, n).over(runs) for n in steps)))
     others = F.transform(F.filter("beside", lambda x: x["host"] == F.col("host")), lambda x: F.struct(x["path"].alias("path"), x["codes"].alias("codes")))
-    rows = beside.where(F.col("run") == F.floor(F.col("rank") / RUN)).select("host", "content", F.struct("path", "codes", others.alias("others")).alias("input"))
-
-    def make():
-        def run(rows):
-            found = [differences(r["path"], r["codes"], [(o["path"], o["codes"]) for o in r["others"]]) for r in rows]
-            return [shared for shared, _ in found], [common for _, common in found]
-        return run
-
-    found = add_columns(rows, make, {"shared": "array<int>", "common": "array<int>"}, text="input", keep=["host", "content"])
-    return found.where(F.size("shared") > 0)
+    beyond = F.exists(F.slice("beside", -2, 2), lambda x: F.coalesce(x["host"] == F.col("host"), F.lit(False)))
+    rows = beside.where(F.col("run") == F.floor(F.col("rank") / RUN)).select(
+        "host", "content", "rank", "path", "codes", beyond.alias("beyond"), others.alias("others"))
+    found = stored(_with_differences(rows), "pages-compared")
+    parts = [found]
+    if not found.where("near_path IS NULL AND beyond").isEmpty():
+        parts.append(beyond_copies(found))
+    parts = [x.where(F.size("shared") > 0).select("host", "content", "shared", "common") for x in parts]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def html_extract(pages: DataFrame) -> DataFrame:

@@ -328,6 +328,22 @@ def test_template_prose_amid_an_article_goes_by_the_alignment(spark):
     assert got == expected
 
 
+def test_many_near_copies_side_by_side_are_compared_with_a_page_beyond_them(spark, monkeypatch):
+    """Menus and notices go from near copies too, however many of them stand between a page and the next other one."""
+    body = " ".join(f"word{i}" for i in range(60))
+    other = "<p>Unmarked notice.</p><p>" + " ".join(f"other{i}" for i in range(60)) + "</p>"
+    rows = [(i, f"http://h.org/a/{i}", f"<p>Unmarked notice.</p><p>{body}</p><p>version {i}</p>") for i in range(20, 50)]
+    expected = {i: f"{body} version {i}" for i, _, _ in rows}
+    rows += [(i, f"http://{host}.org/a/60", other) for i, host in ((60, "h"), (61, "g"), (62, "i"))]
+    rows += [(i, f"http://only.org/a/{i}", f"<p>Unmarked notice.</p><p>{body}</p><p>version {i}</p>") for i in range(70, 82)]
+    alone = other.replace("<p>", "").replace("</p>", " ").strip()
+    expected |= {60: alone.replace("Unmarked notice. ", ""), 61: alone, 62: alone} | {i: f"Unmarked notice. {body} version {i}" for i in range(70, 82)}
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for run in (page_text.RUN, 5):
+        monkeypatch.setattr(page_text, "RUN", run)
+        assert {r["page_id"]: r["text"] for r in page_text.html_extract(frame).collect()} == expected
+
+
 def test_page_differences_equal_those_of_all_pairs(spark, monkeypatch):
     """The pages beside a page in the order of host and path, taken from a sorted list."""
     rng = random.Random(5)
