@@ -1,6 +1,7 @@
 """Streams give what the batch gives, however the input is cut and however often it is replayed."""
 
 import json
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -194,3 +195,74 @@ def test_freshness_is_measured_at_the_batch(spark, tmp_path):
     assert [r.vehicle_id for r in collect(spark, events.fresh_only(stream), tmp_path, "fresh")] == ["new"]
     found = collect(spark, events.alert_stream(stream, as_of=now.replace(tzinfo=None)), tmp_path, "alerts")
     assert [(r.entity_id, r.alert_type) for r in found] == [("old", "STALE_DATA")]
+
+
+def weather_join(spark, tmp_path, positions, observations, **options):
+    """Rows and progress of the stream join; each part is a file, and a last one far ahead closes all before it."""
+    ahead = START + timedelta(days=60)
+    parts = [*positions, [("ahead", ahead, "ahead", 0.0)]], [*observations, [("ahead", ahead, 0, 0.0)]]
+    for name, files in zip(("positions", "weather"), parts):
+        for part in files:
+            if name == "positions":
+                frame = spark.createDataFrame([(v, None, "r", 45.5, -122.6, None, s, at, None, None, None, None, None, a, at)
+                                               for v, at, a, s in part], C.VEHICLE_POSITION)
+            else:
+                frame = spark.createDataFrame([(45.5, -122.6, c, 0.0, 0.0, w, f"W{w}", at, a)
+                                               for a, at, w, c in part], C.WEATHER_OBSERVATION)
+            frame.coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+    read = lambda schema, name: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}")
+    joined = events.with_weather(read(C.VEHICLE_POSITION, "positions"), read(C.WEATHER_OBSERVATION, "weather"), **options)
+    query = joined.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(
+        availableNow=True).start(f"{tmp_path}/joined")
+    query.awaitTermination()
+    return spark.read.schema(joined.schema).parquet(f"{tmp_path}/joined").collect(), query.recentProgress
+
+
+@pytest.mark.parametrize("max_age_s, salts", [(3600, 1), (3601, 3), (7, 1), (0, 2)])
+def test_weather_join_equals_a_plain_search(spark, tmp_path, max_age_s, salts):
+    rng = random.Random(max_age_s)
+
+    def moment():
+        # ties, exact age limits, and instants apart by less than a second, over many slots
+        middle = START + timedelta(hours=3)
+        if rng.random() < 0.2:
+            return middle
+        if rng.random() < 0.5:
+            return middle + timedelta(seconds=rng.randrange(-2 * max_age_s - 2, 2 * max_age_s + 3))
+        return START + timedelta(microseconds=rng.randrange(int(20e6 * (max_age_s + 1))))
+
+    positions = [(f"v{k}", moment() if k % 41 else None, rng.choice(["a", "b", "b", None]), rng.choice([None, 0.0, 2.0]))
+                 for k in range(300)]
+    positions += positions[:40]
+    observations = [(rng.choice(["a", "b", "b", None]), moment() if k % 31 else None, rng.randrange(3), float(rng.randrange(3)))
+                    for k in range(200)]
+    cut = lambda rows: [rows[k::3] for k in range(3)]
+    # the weather comes a file after its positions
+    rows, _ = weather_join(spark, tmp_path, cut(positions), [[], *cut(observations)], max_age_s=max_age_s,
+                           late_by="30 days", weather_late_by="30 days", salts=salts)
+    want = set()
+    for v, at, a, s in positions:
+        if at is not None:
+            fit = [(o, f"W{w}", w, c) for b, o, w, c in observations
+                   if a is not None and a == b and o is not None and o <= at <= o + timedelta(seconds=max_age_s)]
+            want.add((v, at, a, s, *max(fit, default=(None,) * 4)))
+    got = [(r.vehicle_id, r.timestamp, r.agency_id, r.speed, r.observation_time, r.weather_condition, r.weather_code,
+            r.temperature_celsius) for r in rows]
+    assert len(got) == len(want) and set(got) == want
+    assert any(r[4] for r in got) and not all(r[4] for r in got)
+
+
+def test_weather_join_pairs_no_position_with_all_observations(spark, tmp_path):
+    """One agency's crowded hour: the state has a row per slot, where a join would hold and meet each position and observation."""
+    hour = START + timedelta(hours=1)
+    positions = [(f"v{k}", hour + timedelta(seconds=k % 3600, microseconds=k), "a", 1.0) for k in range(8000)]
+    observations = [("a", hour + timedelta(seconds=k % 3600), k % 100, float(k)) for k in range(4000)]
+    rows, batches = weather_join(spark, tmp_path, [positions], [observations], late_by="1 day", weather_late_by="1 day")
+    assert len(rows) == 8000
+    newest = {o: max((f"W{w}", w) for _, p, w, _ in observations if p == o) for o in {o for _, o, _, _ in observations}}
+    for r in rows:
+        at = r.timestamp.replace(microsecond=0)
+        assert (r.observation_time, (r.weather_condition, r.weather_code)) == (at, newest[at])
+    states = [s for b in batches for s in b.stateOperators]
+    assert {s.operatorName for s in states} == {"stateStoreSave"}
+    assert 0 < max(s.numRowsTotal for s in states) < 50
