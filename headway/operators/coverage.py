@@ -160,7 +160,8 @@ def nearest_distances(stops: DataFrame, *, reach: float = NEIGHBOUR_REACH,
     d_lat, d_lon = F.abs(F.col("from_lat") - lat), F.abs(F.col("from_lon") - lon)
     found = (
         occupants.select("level", "lat_cell", "lon_cell", "stop_lat", "stop_lon")
-        .join(probes, ["level", "lat_cell", "lon_cell"])
+        # Spark takes the cells for as small as the file they come from, and would broadcast them at all levels
+        .join(probes.hint("merge"), ["level", "lat_cell", "lon_cell"])
         .where((d_lat < reach) & (d_lon < reach) & ((d_lat > 0) | (d_lon > 0)))
         .groupBy(F.col("from_lat").alias("stop_lat"), F.col("from_lon").alias("stop_lon"))
         .agg(F.min(flat_km(F.col("from_lat"), F.col("from_lon"), lat, lon)).alias("found_km"))

@@ -102,6 +102,30 @@ def _join_output_rows(df):
     return max(metrics(df._jdf.queryExecution().executedPlan()))
 
 
+def test_cells_of_a_small_file_are_not_broadcast(spark, tmp_path):
+    """The file is estimated at a few hundred kilobytes, its cells at all levels are eleven times as many rows."""
+    count = 20_000
+    spark.range(count).write.parquet(f"{tmp_path}/keys")
+    stops = spark.read.parquet(f"{tmp_path}/keys").selectExpr(
+        "CAST(id AS STRING) AS stop_id", "CAST(id AS STRING) AS stop_name", "45.4D + (id * 7919) % 2503 / 1e4D AS stop_lat",
+        "-122.8D + (id * 104729) % 4999 / 1e4D AS stop_lon")
+    plan = coverage.stop_nearest_neighbour(stops, salts=1)  # each salt would add a copy of the distances
+    assert len(plan.collect()) == count
+    assert max(_broadcast_rows(plan._jdf.queryExecution().executedPlan()), default=0) <= count
+
+
+def _broadcast_rows(node):
+    """Rows of each broadcast of an executed plan."""
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _broadcast_rows(node.executedPlan())
+    if "QueryStage" in name:
+        return _broadcast_rows(node.plan())
+    rows = [node.metrics().apply("numOutputRows").value()] if name == "BroadcastExchange" else []
+    children = node.children()
+    return rows + [n for i in range(children.size()) for n in _broadcast_rows(children.apply(i))]
+
+
 @pytest.mark.parametrize("seed", [4, 5])
 def test_gaps_equal_all_pairs(spark, seed):
     points = skewed_points(seed) + [(45.41, -122.79), (45.40, -122.81), (45.39, -122.8), (45.43, -122.75)]
